@@ -40,6 +40,10 @@ OTHER_CLASS = "__OTHER__"
 # Unicode word of two or more characters (the token rule of the text model).
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
+# Unicode whitespace as Python's str.isspace() defines it (a regex class that
+# Java and RE2 both read the same way).
+WHITESPACE_CLASS = r"[\t\n\x0b\x0c\r\x1c-\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
 # Cluster description phrases.
 PHRASE_HIGH_ACTIVITY = "высокая активность"
 PHRASE_LOW_ACTIVITY = "низкая активность"
@@ -59,6 +63,7 @@ K_MAX = 8
 N_INIT = 10
 SILHOUETTE_SAMPLE = 5000
 MAX_ITER = 2000
+TOL = 1e-4  # optimiser stopping tolerance of the reference's logistic fits
 MAX_FEATURES = 200_000
 MIN_DF = 2
 NGRAM_MAX = 2

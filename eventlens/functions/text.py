@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventlens.constants import TOKEN_PATTERN
+from eventlens.constants import TOKEN_PATTERN, WHITESPACE_CLASS
 
 
 def clean_text(c: Column) -> Column:
     """NULL → '', lower-case, every run of Unicode whitespace → one space, strip.
 
     CR and LF are whitespace, so they fold into the same single space.
-    ``(?U)`` makes ``\\s`` Unicode-aware (no-break space, etc.) as in Python.
+    Whitespace is Python's Unicode set (no-break space, ideographic space...),
+    not Java's ASCII default.
     """
     lowered = F.lower(F.coalesce(c.cast("string"), F.lit("")))
-    collapsed = F.regexp_replace(lowered, r"(?U)\s+", " ")
-    return F.regexp_replace(collapsed, r"(?U)^\s+|\s+$", "")
+    collapsed = F.regexp_replace(lowered, WHITESPACE_CLASS + "+", " ")
+    return F.trim(collapsed)
 
 
 def clean_target(c: Column, null_as: str | None = None) -> Column:
@@ -28,7 +29,7 @@ def clean_target(c: Column, null_as: str | None = None) -> Column:
     text = c.cast("string")
     if null_as is not None:
         text = F.coalesce(text, F.lit(null_as))
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
 
 
 def tokens(c: Column, pattern: str = TOKEN_PATTERN) -> Column:
