@@ -25,9 +25,9 @@ from eventlens.constants import EVENT_FILE_GLOB, EVENTS_ENV, RAW_EVENT_COLUMNS,
 CORRUPT = "_corrupt_record"
 
 
-def _reader(spark: SparkSession, multiline: bool, sep: str, encoding: str):
+def _reader(spark: SparkSession, multiline: bool, sep: str, encoding: str, header: bool = True):
     return (
-        spark.read.option("header", True)
+        spark.read.option("header", header)
         .option("multiLine", multiline)
         .option("sep", sep)
         .option("encoding", encoding)
@@ -49,6 +49,7 @@ def read_raw_csv(
     multiline: bool = True,
     sep: str = ",",
     encoding: str = "UTF-8",
+    header: bool = True,
 ) -> DataFrame:
     """All-text scan with a corrupt-record column.
 
@@ -57,12 +58,14 @@ def read_raw_csv(
     still mapped by name.
     """
     if columns is None:
+        if not header:
+            raise ValueError("columns are required for a file without a header line")
         columns = csv_header(spark, path, multiline=multiline, sep=sep, encoding=encoding)
     schema = T.StructType(
         [T.StructField(c, T.StringType(), True) for c in columns] + [T.StructField(CORRUPT, T.StringType(), True)]
     )
     return (
-        _reader(spark, multiline, sep, encoding)
+        _reader(spark, multiline, sep, encoding, header)
         .schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
