@@ -76,12 +76,15 @@ def read_raw_csv(
 def split_valid(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(good rows without the corrupt column, quarantined rows)``.
 
-    Count the good rows only after writing them (or together with other
-    columns): a query that needs nothing but the corrupt column is refused
-    by Spark's CSV source.
+    Spark's CSV source refuses a query whose only needed column is the
+    corrupt-record column (e.g. ``count()`` after the filter).  Both filters
+    therefore also read the first data column through a test that is always
+    true but not constant-folded, so either side can be counted directly.
     """
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.filter(F.col(CORRUPT).isNotNull())
+    first = next(c for c in raw.columns if c != CORRUPT)
+    keep_scanned = F.length(F.coalesce(F.col(first), F.lit(""))) >= 0
+    good = raw.filter(F.col(CORRUPT).isNull() & keep_scanned).drop(CORRUPT)
+    bad = raw.filter(F.col(CORRUPT).isNotNull() & keep_scanned)
     return good, bad
 
 
