@@ -105,3 +105,18 @@ def top_n_per_group(
     out = local.withColumn("_grn", F.row_number().over(final_w)).filter(F.col("_grn") <= n)
     cols = list(df.columns) + ([F.col("_grn").alias(rank_col)] if rank_col else [])
     return out.select(*cols)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the input has fewer
+    partitions than the cluster's default parallelism.
+
+    For CPU-heavy per-row work (tokenising long texts) fed by a scan of few
+    splits — e.g. a file written as one row group.  A scan that already
+    yields enough partitions is returned unchanged, so at scale this adds no
+    shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
