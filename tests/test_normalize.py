@@ -100,3 +100,21 @@ def test_quarantine_and_newest(spark, scratch):
     _write(q, [_line(GOOD_TS)])
     os.utime(p, (1_000_000_000, 1_000_000_000))
     assert newest_file(spark, scratch).endswith("b.scv")
+
+
+def test_build_tables_job(spark, scratch):
+    from eventlens.constants import DEFAULT_SOCDEM_FILE
+    from eventlens.plans.etl import build_tables
+
+    raw_dir = os.path.join(scratch, "raw")
+    os.makedirs(raw_dir)
+    _write(os.path.join(raw_dir, "events.csv"), [_line(GOOD_TS, device="1"), _line(GOOD_TS, device="1"), _line("", device="2"), _line(GOOD_TS, device="3") + ",x"])
+    with open(os.path.join(raw_dir, DEFAULT_SOCDEM_FILE), "w", encoding="utf-8") as f:
+        f.write("number,age_back,gender\n1,30,M\n1,30,M\n,40,F\n")
+    # The events source is the newest *.csv in the folder (the socdem file is
+    # also a .csv), so the socdem file must be the older one.
+    os.utime(os.path.join(raw_dir, DEFAULT_SOCDEM_FILE), (1_000_000_000, 1_000_000_000))
+    res = build_tables(spark, os.path.join(scratch, "out"), raw_dir=raw_dir)
+    assert (res.raw_rows, res.valid_rows, res.written_rows, res.quarantined_rows) == (3, 2, 1, 1)
+    assert res.socdem_rows == 1
+    assert spark.read.parquet(res.events_path).first()["device_id"] == 1
