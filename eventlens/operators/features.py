@@ -169,16 +169,18 @@ def impute_and_encode(
     category: str = "gender",
     unknown: str = "U",
     max_levels: int = 1000,
+    fit_on: DataFrame | None = None,
 ) -> DataFrame:
     """Median-fill numeric columns, fill the category with ``unknown`` and add
     one 0/1 column per level (all levels kept), named ``{category}_{level}``.
 
     The medians are exact (``percentile``, interpolating) over the whole
-    dataset, and the levels are the distinct category values; both come from
-    ONE aggregate.  The level list is bounded by ``max_levels``.
+    dataset (or over ``fit_on``, e.g. the training side), and the levels are
+    the distinct category values; both come from ONE aggregate.  The level
+    list is bounded by ``max_levels``.
     """
     filled_cat = F.coalesce(F.col(category), F.lit(unknown))
-    stats = ds.agg(
+    stats = (ds if fit_on is None else fit_on).agg(
         *[F.median(c).alias(f"m_{c}") for c in numeric_fill],
         F.array_sort(F.collect_set(filled_cat)).alias("levels"),
     ).first()

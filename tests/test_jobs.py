@@ -55,3 +55,16 @@ def test_text_job(spark, scratch):
     assert sub.count() == 1
     topics = jobs.topics_from_metrics(spark, paths["metrics"]).collect()
     assert sum(r["count"] for r in topics) == res.metrics["rows_used"]
+
+
+def test_churn_impute_on_train(spark):
+    from eventlens.operators.churn import train_churn
+    from eventlens.operators.features import churn_dataset
+
+    ds = churn_dataset(ad.order_events(spark, SMALL), ad.socdem(spark, SMALL), 360, 180,
+                       {"pay": "urgent", "ticket": "high", "meter": "low"})
+    a = train_churn(ds)
+    b = train_churn(ds, impute_on="train")
+    assert a.metrics["rows"] == b.metrics["rows"]
+    assert a.predictions.count() == b.predictions.count()
+    assert 0.0 <= b.metrics["roc_auc"] <= 1.0
