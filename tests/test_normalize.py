@@ -118,3 +118,25 @@ def test_build_tables_job(spark, scratch):
     assert (res.raw_rows, res.valid_rows, res.written_rows, res.quarantined_rows) == (3, 2, 1, 1)
     assert res.socdem_rows == 1
     assert spark.read.parquet(res.events_path).first()["device_id"] == 1
+
+
+def test_churn_on_instant_timestamps(spark):
+    from eventlens.operators.features import churn_bounds, churn_dataset, churn_label, device_features
+
+    t0 = dt.datetime(2025, 3, 1, 12, 0, 0)
+    rows = [
+        (t0, 1, 1, "s", "pay"),                       # device 1: only early → churned
+        (t0 + dt.timedelta(days=10), 2, 1, "s", "x"),  # device 2: active in window and after cutoff
+        (t0 + dt.timedelta(days=20), 2, 2, "s", "x"),
+        (t0 + dt.timedelta(days=30), 3, 1, "s", "x"),  # device 3: defines max_ts
+    ]
+    ev = spark.createDataFrame(rows, "event_ts timestamp, device_id long, device_session_id long, screen string, feature string")
+    labels = {r["device_id"]: r["churn"] for r in churn_label(ev, 14).collect()}
+    assert labels == {1: 1, 2: 0, 3: 0}  # cutoff = day 16
+    top, cutoff, start = churn_bounds(ev, feature_days=28, label_days=14)
+    assert top - cutoff == 14 * 86_400_000_000 and cutoff - start == 28 * 86_400_000_000
+    win = {r["device_id"]: r["events_cnt"] for r in device_features(ev, start=start, end=cutoff).collect()}
+    assert win == {1: 1, 2: 1}
+    so = spark.createDataFrame([(1, 30, "F")], "device_id long, age int, gender string")
+    ds = {r["device_id"]: r for r in churn_dataset(ev, so, 28, 14, {"pay": "pay"}).collect()}
+    assert set(ds) == {1, 2} and ds[1]["churn"] == 1 and ds[1]["pay_events"] == 1 and ds[2]["age"] is None
