@@ -120,3 +120,16 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def size_for_iterations(df: DataFrame, n_rows: int, rows_per_partition: int = 50_000) -> DataFrame:
+    """Coalesce (no shuffle) the input of an iterative fit to about
+    ``n_rows / rows_per_partition`` partitions.
+
+    Each L-BFGS or Lloyd iteration is one job whose per-task cost includes
+    a dense partial gradient (classes × features) sent back for the tree
+    aggregate; many tiny partitions make that fixed cost dominate.  A large
+    input keeps many partitions (one per ``rows_per_partition`` rows).
+    """
+    want = max(1, -(-int(n_rows) // rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df

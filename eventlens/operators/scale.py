@@ -21,6 +21,7 @@ class ScaleStats:
     means: tuple[float, ...]
     scales: tuple[float, ...]  # population sd, 1.0 where it is 0 or undefined
     with_mean: bool
+    rows: int = 0
 
     def apply(self, df: DataFrame, suffix: str = "") -> DataFrame:
         out = df
@@ -33,7 +34,7 @@ class ScaleStats:
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str], *, with_mean: bool = True) -> ScaleStats:
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in columns:
         aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
     row = df.agg(*aggs).first()
@@ -42,7 +43,7 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], *, with_mean: bool = True)
         m, s = row[f"m_{c}"], row[f"s_{c}"]
         means.append(0.0 if m is None else float(m))
         scales.append(1.0 if (s is None or s == 0.0) else float(s))
-    return ScaleStats(tuple(columns), tuple(means), tuple(scales), with_mean)
+    return ScaleStats(tuple(columns), tuple(means), tuple(scales), with_mean, int(row["_rows"]))
 
 
 def standardize(df: DataFrame, columns: Sequence[str], *, with_mean: bool = True) -> DataFrame:
