@@ -179,3 +179,16 @@ def test_stream_normalize(spark, scratch):
 
 def test_vector_helper_imports():
     assert vector_to_array is not None
+
+
+def test_split_falls_back_when_a_class_has_one_row(spark):
+    from eventlens.operators.split import StratifyError, can_stratify
+
+    assert not can_stratify({"a": 50, "b": 1}, 0.2)
+    assert can_stratify({"a": 50, "b": 10}, 0.2)
+    df = spark.range(51).select("id", F.when(F.col("id") == 0, "b").otherwise("a").alias("c"))
+    train, test = split(df, ["id"], label="c", test_size=0.2, seed=1)
+    assert train.count() + test.count() == 51
+    assert test.count() == 10  # round(0.2 * 51) over the whole table
+    with pytest.raises(StratifyError):
+        split(df, ["id"], label="c", fallback=False)
