@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +50,12 @@ def running_sums(
     parts = df.repartitionByRange(_n_parts(df, num_partitions), *order_cols).withColumn(
         _PID, F.spark_partition_id()
     )
+    # Both branches below (local sums, partition totals) must see the same
+    # range partitioning.  They share one exchange through exchange reuse (on
+    # by default); if reuse is switched off, two exchanges would each sample
+    # their own bounds, so the partitioned rows are persisted instead.
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
     local_w = Window.partitionBy(_PID).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = parts.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sums])
 

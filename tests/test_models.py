@@ -192,3 +192,13 @@ def test_split_falls_back_when_a_class_has_one_row(spark):
     assert test.count() == 10  # round(0.2 * 51) over the whole table
     with pytest.raises(StratifyError):
         split(df, ["id"], label="c", fallback=False)
+
+
+def test_running_sums_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("k"), F.lit(1).alias("one"))
+        cum = {r["k"]: r["cum_one"] for r in running_sums(df, ["k"], ["one"], num_partitions=9).collect()}
+        assert all(cum[k] == k + 1 for k in range(5000))
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
