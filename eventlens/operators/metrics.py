@@ -219,9 +219,18 @@ def silhouette(
     sample_size: int = SILHOUETTE_SAMPLE,
     seed: int = SEED,
     key: str | None = None,
+    max_ship_bytes: int = 256 << 20,
 ) -> DataFrame:
-    """One row ``(silhouette)``: mean Euclidean silhouette over the sample."""
+    """One row ``(silhouette)``: mean Euclidean silhouette over the sample.
+
+    The sample travels with every task, so its size (``rows × dim × 8``
+    bytes) is checked against ``max_ship_bytes`` before it is collected."""
     arr = _as_array(df.select(features, cluster, *([key] if key else [])), features)
+    dim = arr.select(F.max(F.size(features)).alias("d")).first()["d"] or 0
+    if sample_size * dim * 8 > max_ship_bytes:
+        raise MetricError(
+            f"a sample of {sample_size} × {dim} values exceeds {max_ship_bytes} bytes; lower sample_size"
+        )
     sample = silhouette_sample(arr, features, cluster, sample_size=sample_size, seed=seed, key=key)
     rows = sample.select(F.col(features).alias("f"), F.col(cluster).alias("c")).collect()
     ref_x = np.array([r["f"] for r in rows], dtype=np.float64)
