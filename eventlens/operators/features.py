@@ -175,18 +175,17 @@ def impute_and_encode(
     one 0/1 column per level (all levels kept), named ``{category}_{level}``.
 
     The medians are exact (``percentile``, interpolating) over the whole
-    dataset (or over ``fit_on``, e.g. the training side), and the levels are
-    the distinct category values; both come from ONE aggregate.  The level
-    list is bounded by ``max_levels``.
+    dataset (or over ``fit_on``, e.g. the training side).  The levels are the
+    distinct category values, fetched with ``limit(max_levels + 1)`` so the
+    driver never receives more than that, whatever the cardinality.
     """
     filled_cat = F.coalesce(F.col(category), F.lit(unknown))
-    stats = (ds if fit_on is None else fit_on).agg(
-        *[F.median(c).alias(f"m_{c}") for c in numeric_fill],
-        F.array_sort(F.collect_set(filled_cat)).alias("levels"),
-    ).first()
-    levels = stats["levels"] or []
-    if len(levels) > max_levels:
-        raise ValueError(f"{category} has {len(levels)} levels, more than {max_levels}")
+    src = ds if fit_on is None else fit_on
+    stats = src.agg(*[F.median(c).alias(f"m_{c}") for c in numeric_fill]).first() if numeric_fill else {}
+    found = src.select(filled_cat.alias("lv")).distinct().limit(max_levels + 1).collect()
+    if len(found) > max_levels:
+        raise ValueError(f"{category} has more than {max_levels} levels")
+    levels = sorted(r["lv"] for r in found)
     out = ds
     for c in numeric_fill:
         med = stats[f"m_{c}"]
