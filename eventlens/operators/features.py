@@ -189,6 +189,8 @@ def impute_and_encode(
     out = ds
     for c in numeric_fill:
         med = stats[f"m_{c}"]
+        if med is None:
+            raise ValueError(f"column {c} has no values to take a median from")
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(med).cast("double")))
     out = out.withColumn(category, filled_cat)
     for lv in levels:
