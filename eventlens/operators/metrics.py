@@ -80,16 +80,37 @@ def confusion(df: DataFrame, y: str, y_pred: str) -> DataFrame:
 
 def per_class(df: DataFrame, y: str, y_pred: str) -> DataFrame:
     """``(label, precision, recall, f1, support)`` for every label seen in the
-    truth or the prediction; a zero division gives 0."""
+    truth or the prediction; a zero division gives 0.
+
+    Each confusion cell counts once toward its true label (support, and true
+    positives on the diagonal) and once toward its predicted label, so one
+    aggregation over the exploded cells gives all three counts."""
     cm = confusion(df, y, y_pred)
-    support = cm.groupBy(F.col("y").alias("label")).agg(F.sum("n").alias("support"))
-    predicted = cm.groupBy(F.col("y_pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    tp = cm.filter(F.col("y") == F.col("y_pred")).select(F.col("y").alias("label"), F.col("n").alias("tp"))
-    t = support.join(predicted, "label", "full").join(tp, "label", "left").na.fill(0, ["support", "predicted", "tp"])
+    zero = F.lit(0).cast("long")
+    cells = F.explode(
+        F.array(
+            F.struct(
+                F.col("y").alias("label"),
+                F.col("n").alias("support"),
+                zero.alias("predicted"),
+                F.when(F.col("y") == F.col("y_pred"), F.col("n")).otherwise(zero).alias("tp"),
+            ),
+            F.struct(F.col("y_pred").alias("label"), zero.alias("support"), F.col("n").alias("predicted"), zero.alias("tp")),
+        )
+    )
+    t = (
+        cm.select(cells.alias("c"))
+        .select("c.*")
+        .groupBy("label")
+        .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp"))
+    )
     p = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     t = t.select("label", "support", p.alias("precision"), r.alias("recall"))
-    f1 = F.when(F.col("precision") + F.col("recall") > 0, 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
+    f1 = F.when(
+        F.col("precision") + F.col("recall") > 0,
+        2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")),
+    ).otherwise(0.0)
     return t.select("label", "precision", "recall", f1.alias("f1"), F.col("support").cast("long").alias("support"))
 
 
