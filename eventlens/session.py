@@ -52,14 +52,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, creating a scratch one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that setting
-    always wins.  Only a session with nothing set (tests, a laptop) gets a
-    fresh scratch folder.
+    always wins.  Only a local-mode session with nothing set (tests, a
+    laptop) gets a fresh scratch folder; a cluster session without the
+    setting is an error rather than a silent machine-local folder.
     """
     existing = checkpoint_dir(spark)
     if existing:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(existing)
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder shared by the cluster; "
+            "a machine-local scratch folder is only used in local mode"
+        )
     scratch = tempfile.mkdtemp(prefix="eventlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
