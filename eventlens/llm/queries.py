@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, decontam, secrets, simhash, toxicity
+from eventlens.llm import bpe, decontam, fingerprints, secrets, simhash, suffixes, toxicity
 from eventlens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -72,12 +72,34 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op6_fingerprints")
+def q_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = fingerprints.with_next(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 @register("op7_simhash")
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op8_suffix_dedup")
+def q_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = suffixes.without_repeats(table(spark, sf_dir, "documents"), length=100)
+    dropped = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"])
+    return rest.select(
+        "doc_id",
+        "n_bytes",
+        dropped.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register("op9_decontamination")
 def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
