@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, decontam, fingerprints, secrets, simhash, suffixes, toxicity
+from eventlens.llm import bpe, chat, decontam, fingerprints, packing, secrets, simhash, suffixes, toxicity, urls
 from eventlens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,46 @@ def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_of(table(spark, sf_dir, "documents")).drop("ids")
 
 
+#: What a call must carry: a text of at least one character and a turn number from 0 on.
+REPLY_SCHEMA = [("reply", "text", "string", True, 1), ("reply", "turn", "integer", True, 0)]
+
+_CHAT_SQL = """
+WITH m AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text,
+         max(CASE WHEN role = 'user' THEN turn END) OVER (
+           PARTITION BY conv_id ORDER BY turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS asked,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations),
+named AS (
+  SELECT *, CASE WHEN role = 'user' THEN 'call-' || conv_id || '-' || turn
+                 WHEN role = 'assistant' AND asked IS NOT NULL THEN 'call-' || conv_id || '-' || asked END AS call_id
+  FROM m),
+answers AS (SELECT conv_id, call_id, min(turn) AS result_turn FROM named WHERE role = 'assistant' AND call_id IS NOT NULL GROUP BY ALL)
+SELECT n.conv_id, n.turn, n.place, n.role, n.call_id,
+       CASE WHEN n.role = 'user' THEN CASE WHEN a.result_turn IS NULL THEN 'unanswered' ELSE 'linked' END
+            WHEN n.role = 'assistant' THEN CASE WHEN n.call_id IS NULL THEN 'orphan'
+                                                WHEN n.turn = a.result_turn THEN 'linked' ELSE 'extra' END END AS link,
+       CASE WHEN n.role = 'user' THEN n.turn::BIGINT END AS level,
+       CASE WHEN n.role = 'user' THEN CASE WHEN text = '' THEN 'text:least' ELSE '' END END AS faults,
+       CASE WHEN n.role = 'user'
+            THEN '{"role":"user","tool_calls":[{"arguments":{"text":' || to_json(text)::VARCHAR || ',"turn":' || turn || '},"id":"'
+                 || n.call_id || '","name":"reply"}]}'
+            ELSE '{"content":' || to_json(text)::VARCHAR || ',"role":' || to_json(role)::VARCHAR
+                 || coalesce(',"tool_call_id":"' || n.call_id || '"', '') || '}' END AS line
+FROM named n LEFT JOIN answers a USING (conv_id, call_id)
+"""
+
+
+@register("op2_chat", _CHAT_SQL)
+def q_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages, needs = chat.from_turns(table(spark, sf_dir, "conversations"))
+    lines = chat.format_chat(messages, needs, REPLY_SCHEMA)
+    return lines.select(
+        F.col("conv").alias("conv_id"), "turn", "place", "role", "call_id", "link", "level",
+        F.array_join("faults", ",").alias("faults"), "line",
+    )
+
+
 @register("op3_toxicity")
 def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +112,32 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op4_packing")
+def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tokens = packing.token_ids(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    packed = packing.pack(tokens, width=packing.WIDTH, pad=50256, dtype="<u2")
+    return packed.withColumn("n_tokens", F.element_at("cu_seqlens", -1).cast("long"))
+
+
+#: The contract's fixed rules.
+URL_RULES = [
+    urls.Rule("net", "/", "block"),
+    urls.Rule("example.net", "/en/", "allow"),
+    urls.Rule("example.com", "/de/", "block"),
+    urls.Rule("org", "/fr/", "allow"),
+]
+
+
+@register("op5_url_rules")
+def q_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url")
+    # A page and the document taken from it share their number; low quality is the label that the rules predict.
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 0).alias("bad"))
+    judged = urls.judge(pages, urls.mine(pages, labels), URL_RULES)
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.array_join("mined", " ").alias("mined"))
+
+
 @register("op6_fingerprints")
 def q_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = fingerprints.with_next(table(spark, sf_dir, "documents"))
