@@ -7,7 +7,7 @@ leftmost pair of least rank in every word until no pair is left.  Decoding
 joins position rows to the vocabulary and puts the bytes together in order.
 
 Nothing is shuffled: the work is per partition, what a task holds is bounded by
-``SLICE_BYTES`` of text and ``CACHE_WORDS`` known words (then the cache starts
+``TEXT_BYTES`` of text and ``CACHE_WORDS`` known words (then the cache starts
 anew).  The vocabulary is a fixed file, read on the driver and sent to the
 tasks.
 
@@ -33,11 +33,12 @@ from pyspark.sql import types as T
 
 from eventlens.llm.common import gather_ranges, sliced
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Rows that one recursive query may pile up; longer words go through the keyed form.
-PILE_ROWS = 3_000_000
-LONG_WORD = 1_500
-DECODE_TOKENS = 1_500_000
+PILE_ROWS = 1_000_000
+LONG_WORD = 1_000
+TEXT_BYTES = 1 << 20
+DECODE_TOKENS = 500_000
 
 # A word's rows form a chain: nxt and npos are the token and the position that follow.
 _RECURSION = """
@@ -101,7 +102,7 @@ class Codec:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         pairs = [
             (ranks[tok[:i]], ranks[tok[i:]], rank)
             for tok, rank in ranks.items()
@@ -203,21 +204,28 @@ def _vocabulary(docs: DataFrame, ranks_path: str, pattern: str):
     return docs.sparkSession.sparkContext.broadcast(ranks), (ranks_path, os.path.getsize(ranks_path), pattern)
 
 
+def _encoded(codec: Codec, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray, np.ndarray]:
+    ids, counts = codec.encode(texts.to_pylist())
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32())), ids, counts
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+_DECODED = T.StructField("decoded", T.BinaryType())
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``ids array<int>``, one row per row of ``docs``."""
     ranks, key = _vocabulary(docs, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks.value, pattern, key)
-        for part in sliced(batches, "__text"):
-            ids, counts = codec.encode(part.column(part.num_columns - 1).to_pylist())
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+        for part in sliced(batches, "__text", TEXT_BYTES):
+            lists = _encoded(codec, part.column(part.num_columns - 1))[0]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*part.schema.names[:-1], "ids"])
 
     rows = docs.select(*keep, F.col(text_col).alias("__text"))
-    fields = [f for f in rows.schema.fields[:-1]]
-    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], _IDS]))
 
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -233,10 +241,19 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(out, pa.binary())], [*part.schema.names[:-1], "decoded"])
 
     rows = tokens.select(*keep, F.col(ids_col).alias("__ids"))
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("decoded", T.BinaryType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], _DECODED]))
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Encode, then decode the ids: ``keep``, ``ids`` and ``decoded`` in one pass over the documents."""
-    tokens = encode(docs, ranks_path, pattern, text_col, keep)
-    return decode(tokens, ranks_path, pattern, keep=(*keep, "ids"))
+    """``keep``, ``ids`` and ``decoded``: the texts encoded and the ids decoded in the same task, with one set of tables."""
+    ranks, key = _vocabulary(docs, ranks_path, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(ranks.value, pattern, key)
+        for part in sliced(batches, "__text", TEXT_BYTES):
+            lists, ids, counts = _encoded(codec, part.column(part.num_columns - 1))
+            decoded = pa.array(codec.decode(ids, counts), pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists, decoded], [*part.schema.names[:-1], "ids", "decoded"])
+
+    rows = docs.select(*keep, F.col(text_col).alias("__text"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], _IDS, _DECODED]))
