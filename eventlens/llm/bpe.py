@@ -33,9 +33,9 @@ from pyspark.sql import types as T
 
 from eventlens.llm.common import gather_ranges, sliced
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: Rows that one recursive query may pile up; longer words go through the keyed form.
-PILE_ROWS = 1_000_000
+PILE_ROWS = 500_000
 LONG_WORD = 1_000
 TEXT_BYTES = 1 << 20
 DECODE_TOKENS = 500_000
@@ -102,7 +102,7 @@ class Codec:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "allocator_flush_threshold": "8MB", "temp_directory": ""})
         pairs = [
             (ranks[tok[:i]], ranks[tok[i:]], rank)
             for tok, rank in ranks.items()

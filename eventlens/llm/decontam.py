@@ -33,6 +33,8 @@ from eventlens.llm.common import gather_ranges, sliced
 #: Words to which suffixes are sorted; a power of two no less than the window.
 DEPTH = 16
 BLOCK_BYTES = 4 << 20
+#: Text of one shard, that is of one suffix array.
+SHARD_BYTES = 2 << 20
 
 # Word bytes after A-Z are lower-cased: digits, a-z and everything beyond ASCII.
 _TO_WORDS = bytes(
@@ -158,7 +160,7 @@ def _pass(rows: DataFrame, w: Windows, keep: list[T.StructField]) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(w)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sliced(batches, "__text"):
+        for part in sliced(batches, "__text", SHARD_BYTES):
             data = part.to_pydict()
             found = _scan(data["__text"], shared.value, data["__found"])
             columns = [part.column(k) for k in range(len(keep) + 1)]

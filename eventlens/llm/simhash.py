@@ -42,7 +42,7 @@ CODE_BITS = 15
 #: Homes and reached rows of one cell at most (on average, as rows are dealt by hash).
 CELL_HOMES, CELL_REACHED = 4_096, 16_384
 #: Rows gathered before comparing, and pairs compared in one numpy step.
-GROUP_ROWS, STEP_PAIRS = 200_000, 1 << 20
+GROUP_ROWS, STEP_PAIRS = 100_000, 1 << 18
 
 
 def text_fingerprint(text: str | None, words: int = 4) -> int:

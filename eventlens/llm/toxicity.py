@@ -41,11 +41,11 @@ from pyspark.sql import types as T
 
 from eventlens.llm.common import sliced
 
-MAX_DOCS, MAX_BYTES = 4_000, 5 << 20
+MAX_DOCS, MAX_BYTES = 4_000, 4 << 20
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 _ROW = 64
-_KNOWN_WORDS = 300_000
+_KNOWN_WORDS = 150_000
 
 
 def units(word: str) -> list[str]:
@@ -312,7 +312,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emissions = _Emissions(shared.value)
-        for part in sliced(batches, "__text", 2 << 20):
+        for part in sliced(batches, "__text"):
             s, expected, spans = tag(part.column(part.num_columns - 1).to_pylist(), shared.value, emissions)
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[:-1], pa.array(s), pa.array(expected), pa.array(spans, _SPANS)],
