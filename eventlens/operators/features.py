@@ -144,7 +144,8 @@ def churn_dataset(
     cut_lit, start_lit = ts_literal(cutoff, dtype), ts_literal(start, dtype)
     within = (F.col(ts) >= start_lit) & (F.col(ts) < cut_lit)
     per_device = (
-        events.filter(F.col(device).isNotNull())
+        # A device in the window has its label decided by events from the cutoff on, so nothing before the window is read.
+        events.filter(F.col(device).isNotNull() & (F.col(ts) >= start_lit))
         .groupBy(device)
         .agg(
             *_measures(events, keywords, ts, device, session, screen, feature, tz, within),

@@ -30,6 +30,10 @@ class MetricError(ValueError):
     """A metric is undefined for the given input."""
 
 
+class SampleTooLarge(ValueError):
+    """The silhouette's sample does not fit in a task; never treated as an undefined metric."""
+
+
 def _score_table(df: DataFrame, score: str, label: str) -> DataFrame:
     pos = F.col(label).cast("int") == 1
     return df.groupBy(F.col(score).cast("double").alias("s")).agg(
@@ -220,13 +224,13 @@ def _silhouette_points(ref_x: np.ndarray, ref_y: np.ndarray, chunk: int = 16):
                 diff = x[i : i + chunk, None, :] - rx[None, :, :]
                 dist = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
                 sums = np.add.reduceat(dist, starts, axis=1)
-                for j in range(sums.shape[0]):
-                    li = np.searchsorted(labels, own[i + j])
-                    a = sums[j, li] / (sizes[li] - 1)
-                    others = np.delete(sums[j] / sizes, li)
-                    b = others.min()
-                    m = max(a, b)
-                    out[i + j] = 0.0 if m == 0 else (b - a) / m
+                rows, li = np.arange(len(sums)), np.searchsorted(labels, own[i : i + chunk])
+                a = sums[rows, li] / (sizes[li] - 1)
+                means = sums / sizes
+                means[rows, li] = np.inf
+                b = means.min(axis=1)
+                m = np.maximum(a, b)
+                out[i : i + chunk] = np.where(m == 0, 0.0, (b - a) / np.where(m == 0, 1.0, m))
             yield pd.DataFrame({"s": out})
 
     return run
@@ -248,9 +252,10 @@ def silhouette(
     bytes) is checked against ``max_ship_bytes`` before it is collected."""
     arr = _as_array(df.select(features, cluster, *([key] if key else [])), features)
     dim = arr.select(F.max(F.size(features)).alias("d")).first()["d"] or 0
-    if sample_size * dim * 8 > max_ship_bytes:
-        raise MetricError(
-            f"a sample of {sample_size} × {dim} values exceeds {max_ship_bytes} bytes; lower sample_size"
+    shipped = min(sample_size, arr.count())
+    if shipped * dim * 8 > max_ship_bytes:
+        raise SampleTooLarge(
+            f"a sample of {shipped} × {dim} values exceeds {max_ship_bytes} bytes; lower sample_size"
         )
     sample = silhouette_sample(arr, features, cluster, sample_size=sample_size, seed=seed, key=key)
     rows = sample.select(F.col(features).alias("f"), F.col(cluster).alias("c")).collect()
@@ -271,6 +276,7 @@ def silhouette_value(df: DataFrame, features: str, cluster: str, **kw) -> float:
 
 __all__ = [
     "MetricError",
+    "SampleTooLarge",
     "roc_auc",
     "average_precision",
     "confusion",

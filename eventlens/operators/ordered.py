@@ -18,10 +18,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlens.session import stage_table
+
 _PID = "_el_pid"
 
 
@@ -50,12 +51,10 @@ def running_sums(
     parts = df.repartitionByRange(_n_parts(df, num_partitions), *order_cols).withColumn(
         _PID, F.spark_partition_id()
     )
-    # Both branches below (local sums, partition totals) must see the same
-    # range partitioning.  They share one exchange through exchange reuse (on
-    # by default); if reuse is switched off, two exchanges would each sample
-    # their own bounds, so the partitioned rows are persisted instead.
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
+    # Every evaluation of a range exchange may sample other bounds, so the
+    # partition of each row is settled once, in a written table, and read by
+    # both branches below (local sums, partition totals).
+    parts = stage_table(df.sparkSession, parts, "ranges")
     local_w = Window.partitionBy(_PID).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = parts.select("*", *[F.sum(c).over(local_w).alias(f"_loc_{c}") for c in sums])
 
@@ -115,8 +114,8 @@ def top_n_per_group(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the input has fewer
-    partitions than the cluster's default parallelism.
+    """Round-robin the rows over all cores when the planner's size estimate
+    is below one scan split per core (nothing is executed to find out).
 
     For CPU-heavy per-row work (tokenising long texts) fed by a scan of few
     splits — e.g. a file written as one row group.  A scan that already
@@ -124,7 +123,8 @@ def spread(df: DataFrame) -> DataFrame:
     shuffle.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    split_bytes = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= target * split_bytes:
         return df
     return df.repartition(target)
 
@@ -139,4 +139,4 @@ def size_for_iterations(df: DataFrame, n_rows: int, rows_per_partition: int = 50
     input keeps many partitions (one per ``rows_per_partition`` rows).
     """
     want = max(1, -(-int(n_rows) // rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    return df.coalesce(want)  # never more partitions than there are

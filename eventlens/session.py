@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(
@@ -69,3 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="eventlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
+
+
+def stage_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    The plan above is cut there: whatever reads the table sees the same rows in
+    the same partitions' order, and a lost executor costs no recomputation of
+    what lies below.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/eventlens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

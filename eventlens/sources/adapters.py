@@ -138,6 +138,14 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """
 
 
+def text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as texts with two possible targets."""
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+
+
+TEXT_DOCS_SQL = "SELECT doc_id, text, lang, source FROM documents"
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents ⋈ labels: a (score, binary label) table for ranking metrics."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")

@@ -40,6 +40,9 @@ def raw_event_stream(
         spark.readStream.schema(schema)
         .option("header", header)
         .option("sep", sep)
+        .option("multiLine", True)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
@@ -52,24 +55,27 @@ def normalize_event_stream(
     raw: DataFrame,
     roles: Mapping[str, str] | None = None,
     *,
-    dedupe_delay: str | None = "1 day",
+    dedupe: bool = True,
+    dedupe_delay: str | None = None,
     require_device: bool = True,
     lenient_ints: bool = False,
 ) -> DataFrame:
-    """Clean event stream; copies within ``dedupe_delay`` of each other are
-    dropped (``None`` keeps every copy)."""
+    """Clean event stream without copies (``dedupe=False`` keeps them).
+
+    By default a row is dropped only if it equals one seen before, however
+    late it comes; the state has one entry per distinct event.  With
+    ``dedupe_delay`` the state is bounded by that delay, but rows later than it
+    are dropped as well.
+    """
     good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     clean = event_projection(good, roles, lenient_ints=lenient_ints).filter(valid_event(require_device))
-    if dedupe_delay is None:
+    if not dedupe:
         return clean
+    if dedupe_delay is None:
+        return clean.dropDuplicates()
     return clean.withWatermark("event_ts", dedupe_delay).dropDuplicatesWithinWatermark()
 
 
-def quarantine_stream(raw: DataFrame) -> DataFrame:
-    """Malformed lines of the raw stream."""
-    return raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-
-
 def start_parquet_sink(
     stream: DataFrame,
     out_path: str,
