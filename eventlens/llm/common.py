@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import ctypes.util
 import functools
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlens.session import ensure_checkpoint_dir
+from eventlens.session import stage_table  # noqa: F401
 
 #: Bytes of text that one step inside a task works on.
 SLICE_BYTES = 1 << 20
@@ -23,17 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
-
-    The plan above is cut there, and a lost executor costs no recomputation of
-    what lies below.
-    """
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/eventlens-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 @functools.cache
 def _libc() -> ctypes.CDLL | None:
     name = ctypes.util.find_library("c")
