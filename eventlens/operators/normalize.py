@@ -38,9 +38,12 @@ def event_projection(raw: DataFrame, roles: Mapping[str, str] | None = None, *,
     """Typed event columns from raw text, before any row is dropped.
 
     ``roles`` maps each normalised name to its raw column; absent roles become
-    NULL.  Defaults to the raw file's own headers.
+    NULL, but time and device must be there.  Defaults to the raw file's own headers.
     """
     r = _roles(RAW_EVENT_COLUMNS, roles)
+    lacking = [r.get(c, c) for c in ("event_ts", "device_id") if r.get(c) not in raw.columns]
+    if lacking:
+        raise ValueError(f"not an event table: no column {lacking} among {raw.columns}")
     cols = []
     for name in EVENT_COLUMNS:
         text = _text(raw, r, name)

@@ -95,7 +95,3 @@ def build_tables(
         so_out = out_dir.rstrip("/") + "/socdem.parquet"
         so_n = build_socdem(spark, so_src, so_out)
     return BuildResult(ev_out, so_out, raw_n, valid_n, written_n, bad_n, so_n)
-
-
-def events_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

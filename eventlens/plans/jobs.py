@@ -82,6 +82,8 @@ def run_churn(
     feature_days: float = FEATURE_DAYS,
     label_days: float = LABEL_DAYS,
     keywords: Mapping[str, str] = DEFAULT_KEYWORDS,
+    tz: str | None = None,
+    unique_socdem: bool = False,
     **train_kw,
 ):
     from eventlens.operators.churn import train_churn
@@ -89,7 +91,7 @@ def run_churn(
 
     require(events, EVENT_COLUMNS_NEEDED, what="events")
     require(socdem, ("device_id", "age", "gender"), min_rows=0, what="socdem")
-    ds = churn_dataset(events, socdem, feature_days, label_days, keywords)
+    ds = churn_dataset(events, socdem, feature_days, label_days, keywords, tz=tz, unique_socdem=unique_socdem)
     require(ds, min_rows=1, what="churn dataset")
     res = train_churn(ds, **train_kw)
     return res, write_churn_artifacts(events.sparkSession, res, out_dir)

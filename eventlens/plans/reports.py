@@ -83,11 +83,3 @@ def metrics_summary(spark: SparkSession, churn_metrics_path: str) -> DataFrame:
     return read_json_artifact(spark, churn_metrics_path, CHURN_METRICS_SCHEMA).select(
         "rows", "churn_rate", "roc_auc", "pr_auc"
     )
-
-
-def read_churn_by_cluster(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_artifact(spark, path, CHURN_BY_CLUSTER_SCHEMA)
-
-
-def nan_to_none(v):
-    return None if isinstance(v, float) and math.isnan(v) else v

@@ -46,16 +46,6 @@ def metrics_frame(spark: SparkSession, metrics: Mapping[str, object], schema: T.
     return spark.createDataFrame([row])
 
 
-def to_json_text(metrics: Mapping[str, object]) -> str:
-    """Pretty JSON text of a metrics mapping (NaN written as NaN)."""
-
-    def fix(v):
-        if isinstance(v, float) and math.isnan(v):
-            return float("nan")
-        return v
-
-    return json.dumps({k: fix(v) for k, v in metrics.items()}, ensure_ascii=False, indent=2)
-
 
 def save_model(model, path: str) -> str:
     """Save a fitted Spark ML model or pipeline (overwrite)."""

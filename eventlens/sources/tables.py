@@ -36,7 +36,3 @@ def parquet_view(spark: SparkSession, path: str, view: str) -> DataFrame:
     df = spark.read.parquet(path)
     df.createOrReplaceTempView(view)
     return df
-
-
-def register_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
-    return {n: parquet_view(spark, table_path(sf_dir, n), n) for n in names}
