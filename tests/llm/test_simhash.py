@@ -79,3 +79,10 @@ def test_long_chain_of_links(spark):
     edges = spark.createDataFrame([(i * 11 % 997, (i + 1) * 11 % 997) for i in range(n - 1)], "a long, b long")
     got = components.smallest_reachable(edges, nodes).collect()
     assert len(got) == n and {r.label for r in got} == {5}
+
+
+def test_labels_may_be_null_or_repeat(spark):
+    nodes = spark.createDataFrame([(1, 9), (2, None), (3, 4), (4, 9), (5, 9), (6, None), (7, None)], "node long, label long")
+    edges = spark.createDataFrame([(3, 2), (2, 1), (4, 5), (6, 7)], "a long, b long")
+    got = sorted(components.smallest_reachable(edges, nodes).collect())
+    assert got == [(1, 4), (2, 4), (3, 4), (4, 9), (5, 9), (6, None), (7, None)]
