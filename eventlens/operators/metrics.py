@@ -19,6 +19,8 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -267,6 +269,21 @@ def silhouette(
     return per_point.agg(F.avg("s").alias("silhouette"))
 
 
+def silhouette_all_rows(df: DataFrame, features: str, cluster: str) -> DataFrame:
+    """One row ``(silhouette)``: mean squared-Euclidean silhouette over all rows.
+
+    Squared distances to a whole cluster follow from its count, vector sum and
+    sum of squared norms, so one aggregate and one pass score every row
+    exactly, whatever their number; what is sent out is one vector per cluster.
+    Raises :class:`MetricError` for fewer than 3 rows or 2 clusters, or a cluster of one row."""
+    counts = {r[0]: r[1] for r in df.groupBy(cluster).count().collect()}
+    _check_sizes(counts, sum(counts.values()))
+    arr = _as_array(df.select(features, cluster), features)
+    rows = arr.select(array_to_vector(features).alias("features"), F.col(cluster).cast("double").alias("prediction"))
+    value = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(rows)
+    return df.sparkSession.createDataFrame([(float(value),)], "silhouette double")
+
+
 def silhouette_value(df: DataFrame, features: str, cluster: str, **kw) -> float:
     try:
         return float(silhouette(df, features, cluster, **kw).first()["silhouette"])
@@ -284,6 +301,7 @@ __all__ = [
     "accuracy_macro_f1",
     "classification_report",
     "silhouette",
+    "silhouette_all_rows",
     "silhouette_sample",
     "silhouette_value",
 ]

@@ -13,6 +13,7 @@ from eventlens.operators.normalize import (
     normalize_socdem,
     valid_event,
 )
+from eventlens.session import stage_table
 from eventlens.sinks.writers import write_parquet
 from eventlens.sources import files
 
@@ -43,11 +44,11 @@ def build_events(
     """Write the clean event table; return (raw, valid, written, quarantined).
 
     Counts are reported separately: raw parsed rows, rows passing the validity
-    rule, and rows written after DISTINCT.  The raw/valid counts come from one
-    aggregate over the parsed file; the written count is read from the
-    Parquet footers of the output.
+    rule, and rows written after DISTINCT.  The file is parsed once, into a
+    staged Parquet table that everything else reads; written and quarantined
+    counts are read from Parquet footers.
     """
-    raw = files.read_raw_csv(spark, source, multiline=multiline)
+    raw = stage_table(spark, files.read_raw_csv(spark, source, multiline=multiline), "raw-events")
     good, bad = files.split_valid(raw)
     quarantined = 0
     if quarantine_path:

@@ -26,9 +26,11 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None =
 
 
 def write_csv(df: DataFrame, path: str, *, single_file: bool = False, mode: str = "overwrite") -> str:
-    """CSV with a header.  ``single_file`` is for small aggregated reports only."""
+    """CSV with a header, quotes doubled (as the reader and other tools take them).
+
+    ``single_file`` is for small aggregated reports only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 

@@ -121,6 +121,41 @@ SELECT CASE WHEN event_id % 97 = 0 THEN 'bad' WHEN event_id % 89 = 0 THEN ''
 FROM events
 """
 
+def raw_events_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events → all ten raw columns as text: quotes, commas, newlines, blanks and bad numbers among them."""
+    ev = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+03:00[Europe/Moscow]"))
+    return ev.select(
+        F.when(eid % 97 == 0, "bad").when(eid % 89 == 0, "").otherwise(stamp).alias("event_ts"),
+        F.concat(F.lit(" "), F.col("event_type"), F.lit(" screen ")).alias("screen"),
+        F.when(eid % 7 == 0, "   ").otherwise(F.col("event_type")).alias("feature"),
+        F.col("props").alias("action"),
+        F.when(eid % 83 == 0, " ").otherwise(F.concat(F.lit(" "), F.col("user_id").cast("string"))).alias("device_id"),
+        F.when(eid % 11 == 0, "x1").otherwise((eid % 1000).cast("string")).alias("device_session_id"),
+        F.when(eid % 5 == 0, "one, two").otherwise("three").alias("device_vendor"),
+        F.when(eid % 13 == 0, 'first\n"second"').otherwise("plain").alias("device_model"),
+        F.lit(None).cast("string").alias("device_type"),
+        F.when(eid % 2 == 0, "iOS").otherwise("Android").alias("os"),
+    )
+
+
+RAW_EVENTS_WIDE_SQL = """
+SELECT CASE WHEN event_id % 97 = 0 THEN 'bad' WHEN event_id % 89 = 0 THEN ''
+            ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+03:00[Europe/Moscow]' END AS event_ts,
+       ' ' || event_type || ' screen ' AS screen,
+       CASE WHEN event_id % 7 = 0 THEN '   ' ELSE event_type END AS feature,
+       props AS action,
+       CASE WHEN event_id % 83 = 0 THEN ' ' ELSE ' ' || CAST(user_id AS VARCHAR) END AS device_id,
+       CASE WHEN event_id % 11 = 0 THEN 'x1' ELSE CAST(event_id % 1000 AS VARCHAR) END AS device_session_id,
+       CASE WHEN event_id % 5 = 0 THEN 'one, two' ELSE 'three' END AS device_vendor,
+       CASE WHEN event_id % 13 = 0 THEN 'first' || chr(10) || '"second"' ELSE 'plain' END AS device_model,
+       CAST(NULL AS VARCHAR) AS device_type,
+       CASE WHEN event_id % 2 = 0 THEN 'iOS' ELSE 'Android' END AS os
+FROM events
+"""
+
+
 # Raw role → column of the raw_events adapter (other roles are absent).
 RAW_EVENTS_ROLES = {"event_ts": "ts_text", "device_id": "device_text", "feature": "feature_text"}
 

@@ -188,4 +188,4 @@ def read_csv_artifact(spark: SparkSession, path: str, schema: T.StructType) -> D
     """A CSV artifact with header and a fixed schema; empty when absent."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)

@@ -22,6 +22,15 @@ def test_require(spark):
         require(df, class_col="y", min_classes=2)
 
 
+def test_csv_artifact_keeps_quotes_commas_and_newlines(spark, scratch):
+    from eventlens.sinks.writers import write_csv
+    from eventlens.sources.files import read_csv_artifact
+
+    df = spark.createDataFrame([(1, 'say "hi", you'), (2, '{"k": 0}'), (3, "a\\b"), (4, None)], "id int, t string")
+    write_csv(df, scratch + "/quoted")
+    assert sorted(read_csv_artifact(spark, scratch + "/quoted", df.schema).collect()) == sorted(df.collect())
+
+
 def test_product_jobs(spark, scratch):
     ev = ad.app_events(spark, SMALL)
     paths = jobs.run_eda(ev, scratch)

@@ -16,6 +16,7 @@ from eventlens.operators.metrics import (
     per_class,
     roc_auc,
     silhouette,
+    silhouette_all_rows,
 )
 from eventlens.operators.ordered import rank_in_group, running_sums, top_n_per_group
 from eventlens.operators.segment import segment
@@ -91,6 +92,22 @@ def _brute_silhouette(x, y):
     return float(np.mean(out))
 
 
+def test_silhouette_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 3, 200)
+    x = rng.normal(size=(200, 4)) + y[:, None]
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
+    want = []
+    for i in range(len(x)):
+        mean = [d[i, y == c].sum() / ((y == c).sum() - (c == y[i])) for c in range(3)]
+        a, b = mean[y[i]], min(m for c, m in enumerate(mean) if c != y[i])
+        want.append((b - a) / max(a, b))
+    df = spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(x, y)], "f array<double>, c int")
+    assert silhouette_all_rows(df, "f", "c").first()[0] == pytest.approx(np.mean(want), abs=1e-9)
+    with pytest.raises(MetricError):
+        silhouette_all_rows(df.where("c = 0"), "f", "c")
+
+
 def test_silhouette_exact_and_guards(spark):
     rng = np.random.default_rng(3)
     x = np.vstack([rng.normal(c, 0.5, (40, 3)) for c in (0, 3, 6)])
