@@ -63,17 +63,26 @@ SELECT w, list(id ORDER BY pos) AS ids
 FROM t JOIN (SELECT w, max(step) AS step FROM t GROUP BY w) USING (w, step) GROUP BY w ORDER BY w
 """
 
-# The same contraction, keeping one row per position (id -1: contracted away) in place of every step's rows.
+# The same contraction, keeping one row per position (id -1: contracted away) in place of every step's rows.  Where the
+# merged token is part of no pair of lower rank (``settled``), its other places would come next, from left to right, so
+# one step contracts them all: every second place of a run of neighbouring ones.
 _RECURSION_KEYED = """
 WITH RECURSIVE t(w, pos, id) USING KEY (w, pos) AS (
   SELECT w, pos, id FROM init
   UNION
-  SELECT w, pos, CASE WHEN pos = best % 1048576 THEN (best // 1048576)::INT ELSE -1 END
-  FROM (SELECT p.*, min(m.merged::BIGINT * 1048576 + p.pos) OVER (PARTITION BY w) AS best
-        FROM (SELECT *, lead(id) OVER o AS nxt, lag(pos) OVER o AS prv FROM recurring.t WHERE id >= 0
+  SELECT w, pos, CASE WHEN taken THEN merged ELSE -1 END
+  FROM (
+    SELECT *, lag(taken, 1, false) OVER (PARTITION BY w ORDER BY pos) AS gone
+    FROM (
+      SELECT *, least_place AND CASE WHEN settled THEN (n - coalesce(max(n) FILTER (NOT least_place) OVER o, 0)) % 2 = 1
+                                     ELSE pos = min(pos) FILTER (least_place) OVER (PARTITION BY w) END AS taken
+      FROM (
+        SELECT *, coalesce(merged = min(merged) OVER (PARTITION BY w), false) AS least_place
+        FROM (SELECT *, lead(id) OVER o AS nxt, row_number() OVER o AS n FROM recurring.t WHERE id >= 0
               WINDOW o AS (PARTITION BY w ORDER BY pos)) p
         LEFT JOIN merges m ON m.l = p.id AND m.r = p.nxt) q
-  WHERE best IS NOT NULL AND (pos = best % 1048576 OR prv = best % 1048576)
+      WINDOW o AS (PARTITION BY w ORDER BY pos)) r) s
+  WHERE taken OR gone
 )
 SELECT w, list(id ORDER BY pos) AS ids FROM t WHERE id >= 0 GROUP BY w ORDER BY w
 """
@@ -109,7 +118,13 @@ class Codec:
             for i in range(1, len(tok))
             if tok[:i] in ranks and tok[i:] in ranks
         ]
-        merges = pa.table([pa.array(c, pa.int32()) for c in zip(*pairs, strict=True)], ["l", "r", "merged"])
+        first_use: dict[int, int] = {}
+        for left, right, merged in pairs:
+            for part in (left, right):
+                first_use[part] = min(merged, first_use.get(part, merged))
+        columns = [pa.array(c, pa.int32()) for c in zip(*pairs, strict=True)]
+        settled = pa.array([first_use.get(merged, merged) >= merged for _, _, merged in pairs])
+        merges = pa.table([*columns, settled], ["l", "r", "merged", "settled"])
         vocab = pa.table({"id": pa.array(ranks.values(), pa.int32()), "h": [t.hex() for t in ranks]})
         for name, rows in (("merges", merges), ("vocab", vocab)):
             self.con.register("rows_in", rows)

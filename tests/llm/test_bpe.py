@@ -36,6 +36,15 @@ def test_small_caches_and_piles_change_nothing(spark, documents, encoder, monkey
         assert ids[: counts[0]].tolist() == encoder.encode_ordinary(text or "")
 
 
+def test_keyed_form_equals_the_library(encoder, monkeypatch, rng):
+    monkeypatch.setattr(bpe, "LONG_WORD", 2)
+    codec = bpe.Codec(bpe.load_ranks(PATH), P.PATTERN)
+    texts = [*TEXTS, "a" * 70_001, *("".join(rng.choices(letters, k=60)) for letters in ("ab", "aé", "then", "日本語") for _ in range(10))]
+    ids, counts = codec.encode(texts)
+    assert ids.tolist() == [i for t in texts for i in encoder.encode_ordinary(t or "")]
+    assert len(counts) == len(texts)
+
+
 def test_decode_of_null_and_unknown_ids(spark):
     rows = spark.createDataFrame([(1, None), (2, []), (3, [5, 6])], "doc_id long, ids array<int>")
     got = {r.doc_id: bytes(r.decoded) for r in bpe.decode(rows, PATH, P.PATTERN).collect()}
