@@ -7,12 +7,13 @@ Confirmed kinds: base64, base64url and hex candidates are decoded and reported
 only if what they hold parses to the end:
 
 * ``der``: a DER tree of nested lengths that has the shape of a key (RSA, EC,
-  PKCS#8 private keys or a SubjectPublicKeyInfo),
+  PKCS#8 private keys, also encrypted, or a SubjectPublicKeyInfo),
 * ``openssh``: the OpenSSH private-key container with its length-prefixed parts,
 * ``sshpub``: a public key blob whose inner name is an SSH key type,
-* ``pem``: an armoured block whose body decodes to one of these,
+* ``pem``: an armoured block whose body decodes to one of these, or to whole cipher
+  blocks if its headers name a cipher; its line breaks may be escaped (``\\n``),
 * ``jwt``: three parts, the header a JSON object with a string ``alg``, the
-  claims a JSON object.
+  claims a JSON object; a full stop may follow, a fourth part may not.
 
 Offsets are code points, end exclusive.  Defined cases: a null text is empty and
 has no spans; equal rows give equal results; only the key columns and the text
@@ -44,8 +45,14 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----((?:[^-]+|-(?!----))*+)-----END \1-----")
+#: Line breaks, tabs and slashes as JSON, .env files and source code write them, escaped once or more.
+_ESCAPED = re.compile(r"\\+(?:(?P<n>n|u000[aA])|(?P<r>r|u000[dD])|(?P<t>t|u0009)|(?P<slash>/)|(?=\s))")
+_HEADER = re.compile(r"\s*(?:(?:Proc-Type|DEK-Info):[ \t]*\S+|[A-Za-z][A-Za-z0-9-]*:[^\n]*)(?=\s)")
+_KNOWN = re.compile(r"\b(?P<known>Proc-Type|DEK-Info):[ \t]*(?P<value>\S+)")
+_DEK = re.compile(r"([A-Z0-9-]+),((?:[0-9A-Fa-f]{2})+)")
+#: A lookahead, so that a rejected candidate hides none that begins at its second part.
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])(?!\.[A-Za-z0-9_-]))")
 _B64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEXES = re.compile(r"(?:[0-9a-fA-F]{2}){20,}")
 #: What a text must have for the patterns to be worth running; runs are counted in these bytes.
@@ -98,7 +105,7 @@ def der_tree(data: bytes, depth: int = 0) -> list | None:
 
 
 def is_der_key(data: bytes) -> bool:
-    """PKCS#1, SEC1 and PKCS#8 private keys, and SubjectPublicKeyInfo."""
+    """PKCS#1, SEC1 and PKCS#8 private keys, encrypted PKCS#8, and SubjectPublicKeyInfo."""
     if len(data) < 20 or data[0] != 0x30:
         return False
     tree = der_tree(data)
@@ -112,6 +119,8 @@ def is_der_key(data: bytes) -> bool:
         if tags[1:2] == [0x04] and len(parts[1][1]) >= 16:
             return True
         return tags[1:3] == [0x30, 0x04] and bool(parts[1][1]) and parts[1][1][0][0] == 0x06
+    if tags == [0x30, 0x04]:  # a cipher with parameters (a DigestInfo has none), then what it made
+        return [t for t, _ in parts[0][1]] == [0x06, 0x30] and bool(parts[0][1][1][1]) and len(parts[1][1]) >= 16
     return tags == [0x30, 0x03] and bool(parts[0][1]) and parts[0][1][0][0] == 0x06 and parts[1][1][:1] == b"\0"
 
 
@@ -159,6 +168,30 @@ def key_kind(data: bytes | None) -> str | None:
     return "sshpub" if is_ssh_public(data) else None
 
 
+def is_pem_key(label: str, body: str) -> bool:
+    """Does the body of an armoured block, after its headers, hold a key?"""
+    text = _ESCAPED.sub(lambda m: {"n": "\n", "r": "\r", "t": "\t", "slash": "/"}.get(m.lastgroup, ""), body)
+    text = text.replace("\r\n", "\n").replace("\r", "\n")
+    known = {m["known"]: m["value"] for m in _KNOWN.finditer(text)}
+    rest = text
+    while m := _HEADER.match(rest):
+        rest = rest[m.end() :]
+    bodies = [rest]
+    if rest != text and (blank := re.search(r"\S[^\n]*\n[ \t]*\n", text)):
+        bodies.append(text[blank.end() :])  # headers may go on over several lines, up to an empty one
+    for rest in bodies:
+        rest = re.sub(r"\s", "", rest)
+        data = _decode64(rest) if re.fullmatch(r"[A-Za-z0-9+/]+=*", rest) else None
+        if known.get("Proc-Type") == "4,ENCRYPTED" and label.endswith("PRIVATE KEY"):
+            cipher = _DEK.fullmatch(known.get("DEK-Info", ""))
+            blocks = len(cipher[2]) // 2 if cipher and cipher[1].endswith("CBC") else 1
+            if cipher and data and len(data) >= 16 and len(data) % blocks == 0:
+                return True
+        elif key_kind(data):
+            return True
+    return False
+
+
 def is_token(header: str, claims: str) -> bool:
     for part, needs_alg in ((header, True), (claims, False)):
         raw = _decode64(part)
@@ -191,9 +224,9 @@ def base_spans(text: str, run: int) -> list[tuple[int, int, str]]:
 def confirmed_spans(text: str, run: int) -> list[tuple[int, int, str]]:
     out: list[tuple[int, int, str]] = []
     if "-----BEGIN " in text:
-        out += [(*m.span(), "pem") for m in _PEM.finditer(text) if key_kind(_decode64(re.sub(r"\s", "", m[2])))]
+        out += [(*m.span(), "pem") for m in _PEM.finditer(text) if is_pem_key(m[1], m[2])]
     if "eyJ" in text:
-        out += [(*m.span(), "jwt") for m in _JWT.finditer(text) if is_token(m[1], m[2])]
+        out += [(m.start(), m.end(3), "jwt") for m in _JWT.finditer(text) if is_token(m[1], m[2])]
     if run < 40:
         return out
     for m in _B64.finditer(text):

@@ -97,6 +97,51 @@ def test_secret_structures():
     assert not any(k not in secrets.BASE for _, _, k in secrets.find_secrets("A" * 200 + " " + "0f" * 60))
 
 
+def confirmed(text):
+    return [(k, text[a:b]) for a, b, k in secrets.find_secrets(text) if k not in secrets.BASE]
+
+
+def test_signed_tokens_at_sentence_ends():
+    part = lambda s: base64.urlsafe_b64encode(s).rstrip(b"=").decode()
+    token = f"{part(b'{"alg":"HS256"}')}.{part(b'{"sub":"x"}')}.c2ln"
+    for end in ("", ".", "...", ". Then", ".\n", ".)", '."', "?", ",", "é", ".é"):
+        assert confirmed(f"use {token}{end}") == [("jwt", token)], end
+        assert secrets.redacted(f"use {token}{end}", secrets.find_secrets(f"use {token}{end}")) == f"use [secret]{end}"
+    assert confirmed(f"use {token}.abc.def.") == confirmed(f"use {token}.abc") == confirmed(f"use x{token}.") == []
+    assert confirmed(f"eyJx.{token[:-4]} and {token}.") == [("jwt", token[:-4]), ("jwt", token)]
+
+
+def test_escaped_headed_and_encrypted_keys():
+    number = der(2, b"\x01" * 40)
+    rsa = der(0x30, der(2, b"\0") + number * 8)
+    params = der(0x30, der(4, b"saltsalt") + der(2, b"\x08\x00"))
+    encrypted = der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x03") + params) + der(4, b"\x9c" * 64))
+    digest = der(0x30, der(0x30, der(6, b"\x60\x86\x48\x01\x65\x03\x04\x02\x01") + der(5, b"")) + der(4, b"\x9c" * 32))
+    assert secrets.is_der_key(encrypted) and not secrets.is_der_key(encrypted[:-1]) and not secrets.is_der_key(digest)
+    assert [k for k, _ in confirmed("key " + base64.b64encode(encrypted).decode() + ".")] == ["der"]
+    for key in (rsa, encrypted):
+        lines = ["-----BEGIN PRIVATE KEY-----", *base64.encodebytes(key).decode().split(), "-----END PRIVATE KEY-----"]
+        for sep in ("\n", "\r\n", "\n    ", r"\n", r"\r\n", r"\\n", "\\\n", r"\u000a"):
+            for end in ("", ".", r"\n", '"}'):
+                block = sep.join(lines)
+                assert [x for x in confirmed(f"KEY={block}{end}") if x[0] == "pem"] == [("pem", block)], (sep, end)
+        assert any(k == "pem" for k, _ in confirmed("\n".join(lines).replace("/", r"\/")))
+        for sep in ("\n", "\r\n", r"\n", r"\r\n"):
+            for head in (["Comment: mine, 2048 bits"], ["Comment: mine", ""], ["Comment: mine", "  and yours", ""]):
+                block = sep.join([lines[0], *head, *lines[1:]])
+                assert ("pem", block) in confirmed(f"see {block}."), (sep, head)
+                block = sep.join([lines[0], *head, *lines[1:-1], "", lines[-1]])
+                assert ("pem", block) in confirmed(f"see {block}."), (sep, head)
+    cipher = base64.encodebytes(b"\x9c" * 160).decode().split()
+    heads = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC," + "0A" * 16]
+    make = lambda sep, head, body: sep.join(["-----BEGIN RSA PRIVATE KEY-----", *head, *body, "-----END RSA PRIVATE KEY-----"])
+    for sep in ("\n", "\r\n", r"\n", " "):
+        for head in (heads, [*heads, ""]):
+            assert confirmed(make(sep, head, cipher) + ".") == [("pem", make(sep, head, cipher))], (sep, head)
+    short = base64.encodebytes(b"\x9c" * 150).decode().split()
+    assert confirmed(make("\n", heads, short)) == confirmed(make("\n", [], cipher)) == confirmed(make("\n", heads[:1], cipher)) == []
+
+
 def brute_base(text):
     out = []
     for m in re.finditer(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.A):
