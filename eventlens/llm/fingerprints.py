@@ -1,7 +1,10 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: lines, at sentence ends, and, where neither comes
-for ``LONG_UNIT`` characters, after words chosen by their hash.  Each paragraph's digest
+A text is cut into paragraphs: lines, at sentence ends (ASCII and CJK), and, where
+neither comes for ``LONG_UNIT`` characters, by content into pieces of ``LEAST`` to
+``GREATEST`` characters: after a place whose last ``WINDOW`` characters have a hash that is
+a multiple of ``SPREAD``, or else after the place of the least hash, so that repeated and
+unbroken text is cut too and falls into step again behind a change.  Each paragraph's digest
 (the j-th copy of one paragraph counts as another) goes into one cell of each of
 ``TABLES`` tables; a cell holds a count, the sum of digests and the sum of
 their check values.  The fingerprint is the sketch of ``CELLS`` cells.
@@ -27,7 +30,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +46,10 @@ TABLES = 3
 CELLS = 12
 GROWTH = 4
 LONG_UNIT = 240
+WINDOW, LEAST, GREATEST, SPREAD = 8, 16, 120, 32
 BATCH_BYTES = 1 << 20
-_UNIT = re.compile(r"[^\n.!?]*[\n.!?]+|[^\n.!?]+")
+_ENDS = "\n.!?。．｡！？"
+_UNIT = re.compile(f"[^{_ENDS}]*[{_ENDS}]+|[^{_ENDS}]+")
 _NO_ID = -(1 << 63)
 
 
@@ -54,18 +58,35 @@ def paragraphs(text: str | None) -> list[str]:
     out = []
     for unit in _UNIT.findall(text) if text else []:
         unit = unit.strip()
-        if len(unit) <= LONG_UNIT:
-            if unit:
-                out.append(unit)
-            continue
-        held: list[str] = []
-        for word in unit.split():
-            held.append(word)
-            if zlib.crc32(word.encode()) % 8 == 0:
-                out.append(" ".join(held))
-                held = []
-        if held:
-            out.append(" ".join(held))
+        if len(unit) > LONG_UNIT:
+            out += _pieces(" ".join(unit.split()))
+        elif unit:
+            out.append(unit)
+    return out
+
+
+def _pieces(unit: str) -> list[str]:
+    """A long unit cut by content; where to cut depends on the piece alone, not on what comes after ``GREATEST``."""
+    codes = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    rolled = np.zeros(max(len(codes) - WINDOW + 1, 0), np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(WINDOW):
+            rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + codes[j : j + len(rolled)]
+    hashes = _mix(rolled, 60)  # hashes[p - WINDOW]: of the characters before place p
+    places = np.flatnonzero(hashes % np.uint64(SPREAD) == 0) + WINDOW
+    out, at = [], 0
+    while at + LEAST < len(unit):
+        i = int(np.searchsorted(places, at + LEAST))
+        if i < len(places) and places[i] <= at + GREATEST:
+            end = int(places[i])
+        elif at + GREATEST < len(unit):
+            end = at + LEAST + int(np.argmin(hashes[at + LEAST - WINDOW : at + GREATEST - WINDOW + 1]))
+        else:
+            break
+        out.append(unit[at:end].strip())
+        at = end
+    if rest := unit[at:].strip():
+        out.append(rest)
     return out
 
 

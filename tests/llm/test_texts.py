@@ -195,6 +195,21 @@ def test_fingerprints_equal_brute_force(spark, rng):
     assert one.edited == "aa" and one.near_next == 1.0
 
 
+def test_long_units_are_cut(rng):
+    cjk = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(10_000))
+    base64ish = "".join(rng.choice("ABCDEFGHijklmnop0123456789+/") for _ in range(10_000))
+    ended = "".join(c + rng.choice(["", "", "", "。", "！", "？"]) for c in cjk[:5_000])
+    other = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(10_000))
+    for text in ("Der " * 5_000, "the " * 5_000, "la " * 5_000, "a" * 10_000, "\U0001f600" * 5_000, cjk, base64ish, ended):
+        units = fingerprints.paragraphs(text)
+        assert max(map(len, units)) <= fingerprints.LONG_UNIT and "".join("".join(units).split()) == "".join(text.split())
+        half, near = len(text) // 2, lambda a, b: fingerprints.likeness(fingerprints.digests([a]), fingerprints.digests([b]))[0]
+        assert 0.2 < near(text, fingerprints.edited(text, other * 2)) < 0.6, text[:9]
+        for changed in ("x" + text, text[:half] + "x" + text[half:], text[: half - 1] + text[half:], text + "x"):
+            assert 0.95 < near(text, changed) < 1, text[:9]
+    assert fingerprints.paragraphs("你好。好！吗？") == ["你好。", "好！", "吗？"]
+
+
 def test_peeling_recovers_what_differs():
     keys = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15 >> 3)
     a, b = keys[:300], keys[100:]
