@@ -265,3 +265,22 @@ def test_stream_keeps_quoted_and_late_rows(spark, scratch):
             f.write("\n".join([",".join(EVENTS_HEADER), *part]) + "\n")
         start_parquet_sink(normalize_event_stream(raw_event_stream(spark, src)), out, ck).awaitTermination()
     assert sorted(r.screen for r in spark.read.parquet(out).collect()) == ['a "b", c', "late", "s", "two\nlines"]
+
+
+def test_subtopics_use_every_term(spark, monkeypatch):
+    from eventlens.operators import topics
+
+    words = [f"w{i}" for i in range(20_050)]
+    rows = [(i, " ".join(words[i % 2 :: 2]), "en") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, target string")
+    used = []
+
+    def one_step(r, n, k, **kw):
+        used.append(n)
+        return np.ones((k, n)), r.select("doc", F.array(*[F.lit(1.0)] * k).alias("w")), []
+
+    monkeypatch.setattr(topics, "nmf", one_step)
+    out = topics.subtopics(df, n_topics=2)
+    assert out.columns == ["target_topic", "topics"]
+    cut = topics.subtopics(df, n_topics=2, max_features=50)
+    assert used == [20_050, 50] and cut.first()["terms_cut"] == 20_000
