@@ -19,6 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from eventlens.constants import SEED, SILHOUETTE_SAMPLE
 from eventlens.operators.ordered import running_sums
+from eventlens.session import stage_table
 
 
 class MetricError(ValueError):
@@ -238,21 +240,93 @@ def _silhouette_points(ref_x: np.ndarray, ref_y: np.ndarray, chunk: int = 16):
     return run
 
 
+#: Rows whose distances to as many others one step of the full silhouette holds.
+BLOCK_ROWS = 1_024
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances; where products cancel, they are taken from the differences."""
+    norms = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
+    sq = norms - 2.0 * (x @ y.T)
+    at, to = np.nonzero(sq <= 1e-6 * norms)
+    for i in range(0, len(at), 1 << 14):
+        j = slice(i, i + (1 << 14))
+        diff = x[at[j]] - y[to[j]]
+        sq[at[j], to[j]] = np.einsum("ij,ij->i", diff, diff)
+    return np.sqrt(sq)
+
+
+def _silhouette_of_all(arr: DataFrame, features: str, cluster: str) -> DataFrame:
+    """Blocks of rows meet all blocks; a task adds the sums per point and cluster, and no pair leaves it."""
+    counts = {r[0]: r[1] for r in arr.groupBy(cluster).count().collect()}
+    n = sum(counts.values())
+    _check_sizes(counts, n)
+    place = {c: i for i, c in enumerate(counts)}
+    sizes = np.array(list(counts.values()), dtype=np.float64)
+    k = len(sizes)
+
+    def pack(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(i, BLOCK_ROWS)
+                x = part.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                y = np.array([place[c] for c in part.column(1).to_pylist()], dtype=np.int32)
+                yield pa.RecordBatch.from_pydict({"x": [x.tobytes()], "y": [y.tobytes()]})
+
+    def meet(batches):
+        sums, own = {}, {}
+        for pdf in batches:
+            for block, x, y, ox, oy in pdf.itertuples(index=False):
+                y, oy = np.frombuffer(y, np.int32), np.frombuffer(oy, np.int32)
+                dist = _distances(np.frombuffer(x).reshape(len(y), -1), np.frombuffer(ox).reshape(len(oy), -1))
+                part = dist @ np.eye(k)[oy]
+                sums[block] = sums[block] + part if block in sums else part
+                own[block] = y
+        for block, part in sums.items():
+            yield pd.DataFrame({"block": [block], "y": [own[block].tobytes()], "sums": [part.tobytes()]})
+
+    def score(pdf):
+        y = np.frombuffer(pdf["y"].iloc[0], np.int32)
+        sums = sum(np.frombuffer(v).reshape(len(y), k) for v in pdf["sums"])
+        rows = np.arange(len(y))
+        a = sums[rows, y] / (sizes[y] - 1)
+        means = sums / sizes
+        means[rows, y] = np.inf
+        b = means.min(axis=1)
+        m = np.maximum(a, b)
+        s = np.where(m == 0, 0.0, (b - a) / np.where(m == 0, 1.0, m))
+        return pd.DataFrame({"s": [s.sum()]})
+
+    spark = arr.sparkSession
+    n_parts = max(1, min(-(-n // BLOCK_ROWS), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    packed = arr.select(features, cluster).repartition(n_parts).mapInArrow(pack, "x binary, y binary")
+    blocks = stage_table(spark, packed.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    left = blocks.select("block", "x", "y").repartition(n_parts, "block")
+    pairs = left.crossJoin(blocks.select(F.col("x").alias("ox"), F.col("y").alias("oy")))
+    scored = pairs.mapInPandas(meet, "block long, y binary, sums binary").groupBy("block").applyInPandas(score, "s double")
+    return scored.agg((F.sum("s") / F.lit(n)).alias("silhouette"))
+
+
 def silhouette(
     df: DataFrame,
     features: str,
     cluster: str,
     *,
-    sample_size: int = SILHOUETTE_SAMPLE,
+    sample_size: int | None = None,
     seed: int = SEED,
     key: str | None = None,
     max_ship_bytes: int = 256 << 20,
 ) -> DataFrame:
-    """One row ``(silhouette)``: mean Euclidean silhouette over the sample.
+    """One row ``(silhouette)``: mean Euclidean silhouette over all rows, whatever their number.
 
-    The sample travels with every task, so its size (``rows × dim × 8``
-    bytes) is checked against ``max_ship_bytes`` before it is collected."""
+    The work grows with the square of the rows (:func:`silhouette_all_rows` is
+    linear, for squared distances).  With ``sample_size``, one row
+    ``(silhouette, rows_scored)`` over a sample that travels with every task: its
+    size (``rows × dim × 8`` bytes) is checked against ``max_ship_bytes``
+    before it is collected."""
     arr = _as_array(df.select(features, cluster, *([key] if key else [])), features)
+    if sample_size is None:
+        return _silhouette_of_all(arr, features, cluster)
     dim = arr.select(F.max(F.size(features)).alias("d")).first()["d"] or 0
     shipped = min(sample_size, arr.count())
     if shipped * dim * 8 > max_ship_bytes:
@@ -266,7 +340,7 @@ def silhouette(
     n_parts = max(1, min(len(rows) // 64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     points = sample.select(F.col(features).alias("f"), F.col(cluster).alias("c")).repartition(n_parts)
     per_point = points.mapInPandas(_silhouette_points(ref_x, ref_y), "s double")
-    return per_point.agg(F.avg("s").alias("silhouette"))
+    return per_point.agg(F.avg("s").alias("silhouette"), F.count("s").alias("rows_scored"))
 
 
 def silhouette_all_rows(df: DataFrame, features: str, cluster: str) -> DataFrame:

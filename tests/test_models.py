@@ -119,6 +119,17 @@ def test_silhouette_exact_and_guards(spark):
         silhouette(single, "f", "c", key="id")
 
 
+def test_silhouette_scores_more_rows_than_a_sample(spark):
+    rng = np.random.default_rng(11)
+    y = rng.integers(0, 3, 5_200)
+    x = rng.normal(size=(5_200, 2)) + y[:, None] + 1_000.0
+    x[:300] = x[0]
+    df = spark.createDataFrame(list(zip(range(len(y)), x.tolist(), y.tolist())), "id long, f array<double>, c int")
+    got = silhouette(df, "f", "c", key="id")
+    assert got.columns == ["silhouette"] and got.first()[0] == pytest.approx(_brute_silhouette(x, y), abs=1e-9)
+    assert silhouette(df, "f", "c", key="id", sample_size=100).first()["rows_scored"] == 100
+
+
 def test_stratified_split_properties(spark):
     df = spark.range(997).select("id", (F.col("id") % 4).alias("c"))
     train, test = split(df, ["id"], label="c", test_size=0.2, seed=42)
