@@ -6,7 +6,7 @@ does not come earlier is moved behind it, round by round, until nothing moves.
 Logs in which dependencies point backwards need no round; a call that still
 moves after as many rounds as there are calls in its conversation is in a cycle
 and marked.  Arguments are validated against schemas (required, unknown, type,
-least value or length), and each message is one line of canonical JSON: keys
+least value or length; a null value is absent), and each message is one line of canonical JSON: keys
 sorted, no blanks, absent values left out.
 
 One row per message comes out, so a conversation of any length stays spread
@@ -96,6 +96,7 @@ def invalid_fields(name: Column, arguments: Column, lengths: Column, schemas: Co
     ``SCHEMA_COLUMNS``.
     """
     own = F.filter(schemas, lambda s: s["name"] == name)
+    arguments = F.map_filter(arguments, lambda k, v: v.isNotNull())
     faults = F.transform(
         own,
         lambda s: F.when(~F.map_contains_key(arguments, s["field"]), F.when(s["required"], F.concat(s["field"], F.lit(":missing"))))
@@ -120,6 +121,24 @@ def canonical(fields: dict[str, Column]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
+def _value(text: Column, kind: str) -> Column:
+    """The value of a JSON text, as a Spark type."""
+    return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v {kind}")["v"]
+
+
+def argument_lengths(arguments: Column) -> Column:
+    """What ``least`` is held against: the length of strings, the value of numbers, null for others."""
+    number = lambda v: F.coalesce(v.try_cast("decimal(38,9)").cast("double"), v.try_cast("double"))
+    return F.transform_values(arguments, lambda k, v: F.when(v.startswith('"'), F.length(_value(v, "string")).cast("double")).otherwise(number(v)))
+
+
+def arguments_line(arguments: Column) -> Column:
+    """A JSON object of a map's JSON texts, keys sorted, null values left out."""
+    entries = F.array_sort(F.map_entries(F.map_filter(arguments, lambda k, v: v.isNotNull())))
+    parts = F.transform(entries, lambda e: F.concat(json_text(e["key"]), F.lit(":"), e["value"]))
+    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+
+
 def _block(turn: Column) -> Column:
     return F.floor(F.coalesce(turn, F.lit(0)) / BLOCK)
 
@@ -155,6 +174,9 @@ def from_turns(conversations: DataFrame, name: str = "reply") -> tuple[DataFrame
         (F.col("role") == "assistant") & F.col("asked").isNotNull(), call_id(F.col("asked"))
     )
     calls = rows.withColumn("call_id", own).withColumn("name", F.when(F.col("role") == "user", F.lit(name)))
+    arguments = F.create_map(F.lit("text"), json_text(F.col("text")), F.lit("turn"), F.col("turn").cast("string"))
+    calls = calls.withColumn("arguments", F.when(F.col("role") == "user", arguments))
+    calls = calls.withColumn("is_result", F.coalesce(F.col("role") == "assistant", F.lit(False)))
     needs = calls.where((F.col("role") == "user") & F.col("asked").isNotNull())
     return calls, needs.select("conv", "call_id", call_id(F.col("asked")).alias("needed")).distinct()
 
@@ -162,34 +184,35 @@ def from_turns(conversations: DataFrame, name: str = "reply") -> tuple[DataFrame
 def format_chat(messages: DataFrame, needs: DataFrame, schemas: list[tuple]) -> DataFrame:
     """One row per message: ``conv, turn, place, role, call_id, link, level, faults, line``.
 
-    ``messages (conv, turn, place, role, text, call_id, name)``; a row with a
-    name is a call with arguments text and turn, an assistant row is a result.
+    ``messages (conv, turn, place, role, text, call_id, name, arguments, is_result)``; a row with
+    a name is a call, whose ``arguments`` map fields to the JSON texts of their values; a
+    row without that is ``is_result`` is a result, whatever its role.
     ``schemas``: rows of ``SCHEMA_COLUMNS``.
     """
     messages = messages.withColumn("conv", F.coalesce(F.col("conv"), F.lit(-1))) if dict(messages.dtypes)["conv"] in ("bigint", "int") else messages
     messages = stage_table(messages.sparkSession, messages, "messages")
     calls = messages.where(F.col("name").isNotNull())
-    results = messages.where(F.col("name").isNull() & (F.col("role") == "assistant"))
-    rest = messages.where(F.col("name").isNull() & ~F.coalesce(F.col("role") == "assistant", F.lit(False)))
+    is_result = F.coalesce(F.col("is_result"), F.lit(False))
+    results = messages.where(F.col("name").isNull() & is_result)
+    rest = messages.where(F.col("name").isNull() & ~is_result)
     linked, answers = link(calls, results)
     levels = order(calls, needs.withColumn("conv", F.coalesce(F.col("conv"), F.lit(-1))))
     linked = linked.join(levels, ["conv", "call_id"], "left")
     linked = linked.withColumn("link", F.when(F.col("result_turn").isNull(), "unanswered").otherwise("linked"))
     kinds = [x.strip().split(" ") for x in SCHEMA_COLUMNS.split(",")]
     schema = F.array(*[F.struct(*[F.lit(v).cast(t).alias(k) for v, (k, t) in zip(row, kinds, strict=True)]) for row in schemas])
-    columns = ["conv", "turn", "place", "role", "text", "call_id", "name", "link", "level", "cyclic"]
+    columns = ["conv", "turn", "place", "role", "text", "call_id", "name", "arguments", "link", "level", "cyclic"]
     whole = linked.select(*columns)
     for part in (answers, rest):
         blank = {"link": "string", "level": "bigint", "cyclic": "boolean"}
         whole = whole.unionByName(part.select(*[c if c in part.columns else F.lit(None).cast(blank[c]).alias(c) for c in columns]))
-    arguments = F.create_map(F.lit("text"), json_text(F.col("text")), F.lit("turn"), F.col("turn").cast("string"))
-    lengths = F.create_map(F.lit("text"), F.length("text").cast("long"), F.lit("turn"), F.col("turn").cast("long"))
-    faults = F.when(F.col("name").isNotNull(), invalid_fields(F.col("name"), arguments, lengths, schema))
+    arguments = F.coalesce(F.col("arguments"), F.create_map().cast("map<string,string>"))
+    faults = F.when(F.col("name").isNotNull(), invalid_fields(F.col("name"), arguments, argument_lengths(arguments), schema))
     is_call = F.col("name").isNotNull()
     call = F.concat(
         F.lit("["),
         canonical({
-            "arguments": canonical({"text": json_text(F.col("text")), "turn": F.col("turn").cast("string")}),
+            "arguments": arguments_line(arguments),
             "id": json_text(F.col("call_id")),
             "name": json_text(F.col("name")),
         }),

@@ -1,6 +1,7 @@
 """Toxicity, packing, URL rules, chat formatting and the pipeline."""
 
 import itertools
+import json
 import zlib
 
 import numpy as np
@@ -166,6 +167,29 @@ def test_calls_move_behind_what_they_need(spark):
     assert got[2, "p"].cyclic or got[2, "q"].cyclic
 
 
+def test_chat_validates_given_arguments(spark):
+    schema = [("find", "q", "string", True, 2), ("find", "n", "integer", False, 1), ("find", "how", "object", False, None)]
+    made = [
+        ({"q": '"ab"', "n": "3", "how": '{"a":[1,{"b":null}]}'}, ""),
+        ({"n": "0"}, "n:least,q:missing"),
+        ({"q": None, "n": '"x"', "z": "1", "y": None}, "n:type,q:missing,z:unknown"),
+        ({"q": '"\\n"', "how": "[]"}, "how:type,q:least"),
+        (None, "q:missing"),
+    ]
+    rows = [(1, i, i + 1, "assistant", "", f"c{i}", "find", a, False) for i, (a, _) in enumerate(made)]
+    rows += [(1, 9, 6, "tool", "done", "c0", None, None, True), (1, 10, 7, "assistant", "no result", None, None, None, False)]
+    names = "conv long, turn int, place long, role string, text string, call_id string, name string, arguments map<string,string>, is_result boolean"
+    none = spark.createDataFrame([], "conv long, call_id string, needed string")
+    got = {r.turn: r for r in chat.format_chat(spark.createDataFrame(rows, names), none, schema).collect()}
+    assert [",".join(got[i].faults) for i in range(len(made))] == [f for _, f in made]
+    assert json.loads(got[0].line)["tool_calls"][0]["arguments"] == {"q": "ab", "n": 3, "how": {"a": [1, {"b": None}]}}
+    assert '"arguments":{"n":"x","z":1}' in got[2].line and '"arguments":{}' in got[4].line
+    assert got[0].link == got[9].link == "linked" and got[1].link == "unanswered" and got[10].link is None
+    log = spark.createDataFrame([(1, None, "user", "a")], "conv_id long, turn int, role string, text string")
+    only = chat.format_chat(*chat.from_turns(log), queries.REPLY_SCHEMA).first()
+    assert only.faults == ["turn:missing"] and '"arguments":{"text":"a"}' in only.line
+
+
 def test_chat_faults(spark):
     from pyspark.sql import functions as F
 
