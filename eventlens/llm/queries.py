@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, chat, decontam, fingerprints, packing, secrets, simhash, suffixes, toxicity, urls
+from eventlens.llm import bpe, chat, decontam, fingerprints, packing, resampling, secrets, simhash, suffixes, toxicity, urls
 from eventlens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +193,10 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *map(count, secrets.BASE), F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
     )
+
+
+@register("op13_resampling")
+def q_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = resampling.resample(docs, target, percent=5, min_words=20, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
