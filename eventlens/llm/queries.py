@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, chat, decontam, fingerprints, packing, resampling, secrets, simhash, suffixes, toxicity, urls
+from eventlens.llm import bpe, chat, decontam, fingerprints, mixing, packing, resampling, secrets, simhash, suffixes, toxicity, urls
 from eventlens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +195,12 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op11_mixing")
+def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3, seed=42)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 @register("op13_resampling")
 def q_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
