@@ -39,7 +39,7 @@ from eventlens.operators.ordered import running_sums
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Sums that one knapsack spans.  A source of fewer words is fitted best possible, a larger one with its shortest documents.
-SPACE = 1 << 21
+SPACE = 1 << 18
 HOT_GROUPS = 1_000
 _BIN_BITS = 12
 
@@ -151,7 +151,9 @@ def _plans(lengths: DataFrame, max_repeats: int) -> DataFrame:
             ["source", "source_size", "target", "size", "full", "extra"],
         )
 
-    return lengths.groupBy("source").applyInArrow(run, "source string, source_size long, target double, size long, full long, extra long")
+    # A set number of partitions: few rows may stand for long computations.
+    parts = int(lengths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lengths.repartition(parts, "source").groupBy("source").applyInArrow(run, "source string, source_size long, target double, size long, full long, extra long")
 
 
 def mix(

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, chat, decontam, fingerprints, mixing, packing, resampling, secrets, simhash, suffixes, toxicity, urls
+from eventlens.llm import bpe, chat, conv_trie, decontam, fingerprints, mixing, packing, resampling, secrets, simhash, suffixes, toxicity, urls
 from eventlens.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -201,6 +201,27 @@ def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def rebuilt(turns: DataFrame, most: int = 6, block: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Turns and ids of conversations whose first h turns, at places 1 to h, are those of their block's first conversation."""
+    h = F.crc32(F.col("conv").cast("string")) % most
+    members = turns.select("conv").distinct()
+    firsts = turns.where((F.col("conv") % block == 0) & (F.col("place") < most))
+    firsts = firsts.groupBy(F.col("conv").alias("base")).agg(F.collect_list(F.struct("place", "id", "chars")).alias("given"))
+    given = members.withColumn("base", F.col("conv") - F.col("conv") % block).join(firsts, "base")
+    given = given.select("conv", F.explode("given").alias("t")).select("conv", "t.*").where(F.col("place") <= h)
+    return turns.where(F.col("place") > h).unionByName(given.select(turns.columns)), members
+
+
+@register("op12_prefix_trie")
+def q_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = conv_trie.trie(*rebuilt(conv_trie.ordered_turns(table(spark, sf_dir, "conversations"))))
+    return nodes.select(
+        F.col("conv").alias("conv_id"), F.col("depth").cast("long").alias("depth"), F.col("parent").alias("parent_conv_id"),
+        "n_convs", F.col("n_children").cast("long").alias("n_children"), "n_leaves", F.col("saved").alias("saved_tokens"),
+        F.col("ends").alias("ends_sha256"),
+    )
+
+
 @register("op13_resampling")
 def q_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
