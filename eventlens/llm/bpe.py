@@ -7,8 +7,8 @@ leftmost pair of least rank in every word until no pair is left.  Decoding
 joins position rows to the vocabulary and puts the bytes together in order.
 
 Nothing is shuffled: the work is per partition, what a task holds is bounded by
-``TEXT_BYTES`` of text and ``CACHE_WORDS`` known words (then the cache starts
-anew).  The vocabulary is a fixed file, read on the driver and sent to the
+``TEXT_BYTES`` of text and two generations of ``CACHE_WORDS`` known words: when the
+younger is full it becomes the older, from which words met again are taken over.  The vocabulary is a fixed file, read on the driver and sent to the
 tasks.
 
 Defined cases: a null text is the empty text and gives an empty id list; rows
@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from eventlens.llm.common import gather_ranges, sliced
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 #: Rows that one recursive query may pile up; longer words go through the keyed form.
 PILE_ROWS = 500_000
 LONG_WORD = 1_000
@@ -130,13 +130,31 @@ class Codec:
             self.con.register("rows_in", rows)
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM rows_in")
             self.con.unregister("rows_in")
-        self._forget()
+        self._start()
+        self.older = (self.known, self.tokens, self.starts, self.counts)
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.known: dict[str, int] = {}
         self.tokens, self.starts, self.counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         self.filled = 0
 
+    def _settle(self) -> None:
+        """The lists of arrays as one array each."""
+        if len(self.tokens) > 1:
+            self.tokens, self.starts, self.counts = ([np.concatenate(x)] for x in (self.tokens, self.starts, self.counts))
+
+    def _take_over(self, words: set[str]) -> set[str]:
+        """Learn what the older generation knows of ``words``; the rest."""
+        known, tokens, starts, counts = self.older
+        if not known:
+            return words
+        again = [w for w in words if w in known]
+        if again:
+            at = np.fromiter(map(known.__getitem__, again), np.int64, len(again))
+            size = counts[0][at]
+            self._learn(tokens[0][gather_ranges(starts[0][at], size)], size, again)
+        return words.difference(again)
+
     def _learn(self, ids: np.ndarray, counts: np.ndarray, words: list[str]) -> None:
         first = len(self.known)
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
@@ -179,11 +197,14 @@ class Codec:
         pieces = [self.find(t) if t else [] for t in texts]
         flat = list(itertools.chain.from_iterable(pieces))
         fresh = set(flat)
+        fresh.difference_update(self.known)
         if len(self.known) + len(fresh) > CACHE_WORDS:
-            self._forget()
-        self.learn(fresh.difference(self.known))
-        if len(self.tokens) > 1:
-            self.tokens, self.starts, self.counts = ([np.concatenate(x)] for x in (self.tokens, self.starts, self.counts))
+            self._settle()
+            self.older = (self.known, self.tokens, self.starts, self.counts)
+            self._start()
+            fresh = set(flat)
+        self.learn(self._take_over(fresh))
+        self._settle()
         word = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
         counts = self.counts[0][word]
         ids = self.tokens[0][gather_ranges(self.starts[0][word], counts)]
