@@ -54,6 +54,7 @@ def write_churn_artifacts(spark: SparkSession, result, out_dir: str) -> dict[str
 def write_segment_artifacts(spark: SparkSession, result, churn_by_cluster: DataFrame | None, out_dir: str) -> dict:
     """Device → cluster table, cluster profiles, churn by cluster, metrics."""
     paths = {
+        "model": result.model.save(spark, f"{out_dir}/segment_model"),
         "user_clusters": write_csv(result.clusters, f"{out_dir}/user_clusters.csv"),
         "cluster_profiles": write_csv(result.profile, f"{out_dir}/cluster_profiles.csv", single_file=True),
     }

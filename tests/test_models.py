@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from eventlens.operators.churn import balanced_weights, fit_balanced_logistic
+from eventlens.operators.lloyd import fit_all, fit_grid, seeds
 from eventlens.operators.metrics import (
     MetricError,
     accuracy_macro_f1,
@@ -19,7 +20,7 @@ from eventlens.operators.metrics import (
     silhouette_all_rows,
 )
 from eventlens.operators.ordered import rank_in_group, running_sums, top_n_per_group
-from eventlens.operators.segment import segment
+from eventlens.operators.segment import SegmentModel, segment
 from eventlens.operators.split import split
 from eventlens.operators.topics import nmf
 
@@ -155,6 +156,43 @@ def test_segment_recovers_planted_clusters(spark):
         assert len({labels[i] for i in range(g * 60, g * 60 + 60)}) == 1
 
 
+def test_models_fitted_together_equal_models_fitted_alone(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 3)) + rng.integers(0, 4, 400)[:, None] * 3
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    points = df.select(F.xxhash64("id").alias("h"), "x").repartition(5).cache()
+    starts = seeds(points, [2, 4, 4, 7], 1)
+    assert [len(s) for s in starts] == [2, 4, 4, 7] and not np.array_equal(starts[1], starts[2])
+    assert all((np.abs(x[:, None] - s[None]).sum(-1).min(0) < 1e-12).all() and len(np.unique(s, axis=0)) == len(s) for s in starts)
+    for start, fit in zip(starts, fit_all(points, starts, tol=0.0), strict=True):
+        c = start
+        for _ in range(300):
+            own = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1)
+            c, was = np.array([x[own == i].mean(0) for i in range(len(c))]), c
+            if np.allclose(c, was, atol=1e-13):
+                break
+        assert np.allclose(fit.centers, c) and fit.cost == pytest.approx(((x - c[own]) ** 2).sum())
+
+
+def test_lost_centres_move_and_few_distinct_rows(spark):
+    x = [[0.0], [0.1], [5.0], [5.1], [9.0]]
+    points = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "h long, x array<double>")
+    fit = fit_all(points, [np.array([[0.0], [5.0], [100.0]])])[0]
+    assert sorted(np.round(fit.centers.ravel(), 6)) == [0.05, 5.05, 9.0]
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(6)], "h long, x array<double>")
+    fits = fit_grid(same, [2, 3], n_init=2)
+    assert fits[3].cost == 0.0 and fits[2].k == 2
+
+
+def test_segment_model_round_trip(spark, scratch):
+    df = spark.createDataFrame([(i, float(i % 2 * 10 + i * 0.01), 1.0) for i in range(40)], "device_id long, a double, b double")
+    res = segment(df, ["a", "b"], k_min=2, k_max=3, n_init=2)
+    back = SegmentModel.load(spark, res.model.save(spark, f"{scratch}/m"))
+    assert sorted(map(tuple, back.assign(df).collect())) == sorted(map(tuple, res.clusters.collect()))
+    with pytest.raises(ValueError):
+        segment(df.limit(0), ["a", "b"])
+
+
 def test_logistic_matches_stated_objective(spark):
     rng = np.random.default_rng(5)
     n = 300
