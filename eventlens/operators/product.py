@@ -10,17 +10,17 @@ Scale notes (each is one or two hash aggregations, no join):
 * Top features is a partial + final count followed by ``TakeOrderedAndProject``
   (a bounded top-k, never a full sort).
 * Retention needs, per device, its first day and whether it came back on day
-  +k.  The reference self-joins devices to their active days; here one
-  aggregation keyed on the device gathers ``min(day)`` and the *set* of active
-  days (map-side deduplicated, at most one entry per calendar day), so the plan
-  has one shuffle of per-device day sets instead of a join of the raw log.
+  +k.  One hash aggregation keyed on the device ORs each day into a bitmap of
+  64-day words (combined map-side, a few longs per device); the first day and
+  the days after it are read off the bits, so the plan has one shuffle and no
+  join of the raw log.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.constants import DEFAULT_KEYWORDS
@@ -87,19 +87,29 @@ def retention(
     dtype = column_type(events, ts)
     ensure_timestamp(dtype)
     day = local_date(F.col(ts), dtype, tz)
-    per_device = events.groupBy(device).agg(
-        F.min(day).alias("cohort"),
-        F.collect_set(day).alias("days"),
+    # The log's first and last day: so many 64-day words hold every device's days.
+    edge = events.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    base, last_day = (edge["first"], edge["last"] if censor else None)
+    n_words = (edge["last"] - base).days // 64 + 1 if base is not None else 1
+    at = F.date_diff(day, F.lit(base).cast("date"))
+    bit = F.expr("shiftleft(1L, _at % 64)")
+    words = [f"_w{i}" for i in range(n_words)]
+    per_device = events.select(device, at.alias("_at")).groupBy(device).agg(
+        *[F.bit_or(F.when(F.floor(F.col("_at") / 64) == i, bit)).alias(w) for i, w in enumerate(words)]
     )
+    # The lowest bit of the first word that has one.
+    lowest = [F.bit_count(F.col(w).bitwiseAND(-F.col(w)) - 1) + 64 * i for i, w in enumerate(words)]
+    first = F.coalesce(*[F.when(F.col(w) != 0, n) for w, n in zip(words, lowest)])
+
+    def active(k: int) -> Column:
+        spot = F.col("_first") + k
+        word = F.get(F.array(*words), F.floor(spot / 64).cast("int"))
+        return F.coalesce(F.getbit(word, spot % 64), F.lit(0)).cast("int") if k >= 0 else F.lit(0)
+
     flags = [
-        F.when(F.col(device).isNull(), F.lit(0))
-        .otherwise(F.array_contains("days", F.date_add("cohort", k)).cast("int"))
-        .alias(f"d{k}")
-        for k in offsets
+        F.when(F.col(device).isNull(), F.lit(0)).when(F.col("_first").isNotNull(), active(k)).alias(f"d{k}") for k in offsets
     ]
-    per_device = per_device.select("cohort", *flags)
-
-    last_day = _last_date(events, ts, dtype, tz) if censor else None
+    per_device = per_device.withColumn("_first", first).select(F.date_add(F.lit(base).cast("date"), F.col("_first")).alias("cohort"), *flags)
 
     aggs = [F.count(F.lit(1)).alias("cohort_size")]
     for k in offsets:
@@ -114,11 +124,6 @@ def retention(
     ).orderBy(F.asc_nulls_last("cohort_day"))
 
 
-def _last_date(events: DataFrame, ts: str, dtype, tz):
-    """Last calendar day in the log (one-row aggregate)."""
-    return events.agg(F.max(local_date(F.col(ts), dtype, tz)).alias("m")).first()["m"]
-
-
 def adoption(
     events: DataFrame,
     keywords: Mapping[str, str] = DEFAULT_KEYWORDS,
