@@ -81,4 +81,12 @@ def stage_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/eventlens-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._eventlens_path = path
+    return table
+
+
+def drop_stage(table: DataFrame) -> None:
+    """Delete the files of a table that :func:`stage_table` returned and that nothing reads any more."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._eventlens_path)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -219,7 +219,14 @@ def test_nmf_residual_falls_and_topics_separate(spark):
         idx = [0, 1, 2] if d % 2 == 0 else [3, 4, 5]
         rows.append((d, idx, [1.0, 0.8, 0.6]))
     df = spark.createDataFrame(rows, "doc long, idx array<int>, val array<double>")
-    h, w, errors = nmf(df, 6, 2, max_iter=60, tol=0.0)
+    entries = df.select("doc", F.explode(F.arrays_zip("idx", "val")).alias("e")).select("doc", F.col("e.idx").alias("term"), F.col("e.val").alias("x"))
+    h, w, errors = nmf(entries, 2, max_iter=25, tol=0.0)
+    h = np.array([r["h"] for r in h.orderBy("term").collect()]).T
+    got = {r["doc"]: r["w"] for r in w.collect()}
+    x = np.zeros((40, 6))
+    for d, idx, val in rows:
+        x[d, idx] = val
+    assert ((x - np.array([got[d] for d in range(40)]) @ h) ** 2).sum() == pytest.approx(errors[-1], abs=1e-6 * errors[0])
     # the error is computed from sums, so allow round-off near an exact fit
     assert all(b <= a + 1e-9 * errors[0] for a, b in zip(errors, errors[1:]))
     assert errors[-1] < 0.05 * errors[0]
