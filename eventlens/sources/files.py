@@ -5,10 +5,9 @@ inferred), plus a corrupt-record column.  A row with too many or too few
 fields fills that column; :func:`split_valid` separates such rows into a
 quarantine set instead of silently dropping them.
 
-``multiline=True`` keeps a quoted field that holds a newline inside its row,
-as the reference's reader does; such files cannot be split across tasks, so a
-huge single file without embedded newlines should be read with
-``multiline=False``, which splits by byte range.
+``multiline=True`` keeps a quoted field that holds a newline inside its row; files are
+still cut in many tasks (:mod:`eventlens.sources.quoted`; UTF-8 only, other encodings are
+read in one task per file).  ``multiline=False`` takes every line as a row and needs one pass less.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlens.constants import EVENT_FILE_GLOB, EVENTS_ENV, RAW_EVENT_COLUMNS, RAW_SOCDEM_COLUMNS, SOCDEM_ENV
+from eventlens.sources.quoted import read_quoted_csv
 
 CORRUPT = "_corrupt_record"
 
@@ -61,6 +61,8 @@ def read_raw_csv(
         if not header:
             raise ValueError("columns are required for a file without a header line")
         columns = csv_header(spark, path, multiline=multiline, sep=sep, encoding=encoding)
+    if multiline and encoding.upper().replace("-", "") == "UTF8":
+        return read_quoted_csv(spark, path, columns, corrupt=CORRUPT, sep=sep, header=header)
     schema = T.StructType(
         [T.StructField(c, T.StringType(), True) for c in columns] + [T.StructField(CORRUPT, T.StringType(), True)]
     )
