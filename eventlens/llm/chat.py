@@ -189,14 +189,17 @@ def format_chat(messages: DataFrame, needs: DataFrame, schemas: list[tuple]) ->
     row without that is ``is_result`` is a result, whatever its role.
     ``schemas``: rows of ``SCHEMA_COLUMNS``.
     """
-    messages = messages.withColumn("conv", F.coalesce(F.col("conv"), F.lit(-1))) if dict(messages.dtypes)["conv"] in ("bigint", "int") else messages
+    # Keys that no null and no value share, for ids of any type.
+    kind = messages.schema["conv"].dataType
+    key = F.coalesce(F.concat(F.lit("="), F.col("conv").cast("string")), F.lit(""))
+    messages, needs = messages.withColumn("conv", key), needs.withColumn("conv", key)
     messages = stage_table(messages.sparkSession, messages, "messages")
     calls = messages.where(F.col("name").isNotNull())
     is_result = F.coalesce(F.col("is_result"), F.lit(False))
     results = messages.where(F.col("name").isNull() & is_result)
     rest = messages.where(F.col("name").isNull() & ~is_result)
     linked, answers = link(calls, results)
-    levels = order(calls, needs.withColumn("conv", F.coalesce(F.col("conv"), F.lit(-1))))
+    levels = order(calls, needs)
     linked = linked.join(levels, ["conv", "call_id"], "left")
     linked = linked.withColumn("link", F.when(F.col("result_turn").isNull(), "unanswered").otherwise("linked"))
     kinds = [x.strip().split(" ") for x in SCHEMA_COLUMNS.split(",")]
@@ -224,4 +227,5 @@ def format_chat(messages: DataFrame, needs: DataFrame, schemas: list[tuple]) ->
         "tool_call_id": F.when(~is_call & F.col("call_id").isNotNull(), json_text(F.col("call_id"))),
         "tool_calls": F.when(is_call, call),
     })
-    return whole.select("conv", "turn", "place", "role", "call_id", "link", "level", "cyclic", faults.alias("faults"), line.alias("line"))
+    conv = F.when(F.col("conv") != "", F.substring("conv", 2, 2**31 - 1)).cast(kind).alias("conv")
+    return whole.select(conv, "turn", "place", "role", "call_id", "link", "level", "cyclic", faults.alias("faults"), line.alias("line"))

@@ -9,8 +9,8 @@ match.  Documents are never shuffled.
 
 The benchmark is the stated query set.  It is worked off in blocks of about
 ``BLOCK_BYTES`` text: each block is sent to the tasks, and a pass over the
-documents adds what it finds to the rows, so a larger benchmark means more
-passes, not more memory.
+documents adds what it finds to the rows and writes them for the next block, so a
+larger benchmark means more passes, not more memory in tasks; the driver holds one block at a time.
 
 Defined cases: a null text or item has no words; an item of fewer words than
 the window, but not none, is one window; items with equal texts all count; equal
@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlens.llm.common import gather_ranges, sliced
+from eventlens.llm.common import gather_ranges, sliced, stage_table
+from eventlens.session import drop_stage
 
 #: Words to which suffixes are sorted; a power of two no less than the window.
 DEPTH = 16
@@ -47,7 +48,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Windows:
-    """The distinct windows of a block of items."""
+    """The windows of a block of items, and the distinct ones among them with the items that hold each."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int):
         if window > DEPTH:
@@ -69,12 +70,18 @@ class Windows:
         self.ids = np.array([*flat, *[0] * (DEPTH + 1)], np.int32)
         self.first, self.size, self.owner = (np.array(x, np.int64) for x in (first, size, owner))
         self.window = window
-
-    def keys(self) -> np.ndarray:
-        """One row of ids per window, filled with -1 beyond its length."""
-        rows = self.ids[self.first[:, None] + np.arange(self.window)]
-        rows[np.arange(self.window) >= self.size[:, None]] = -1
-        return rows
+        rows = self.ids[self.first[:, None] + np.arange(window)]
+        rows[np.arange(window) >= self.size[:, None]] = -1  # beyond the window's length
+        self.keys, which = np.unique(rows, axis=0, return_inverse=True)
+        which = which.reshape(-1)
+        self.lengths = (self.keys >= 0).sum(axis=1)
+        # The windows of each distinct one, by the word before them (-1: an item's start).
+        before = np.where(np.diff(self.owner, prepend=-1) != 0, -1, self.ids[self.first - 1]) if len(first) else np.empty(0, np.int64)
+        self.by_key = np.lexsort((self.owner, before, which))
+        self.wide = len(vocab) + 2
+        self.order = which[self.by_key] * self.wide + before[self.by_key] + 1
+        pairs = np.unique(np.stack([which, self.owner], axis=1), axis=0) if len(first) else np.empty((0, 2), np.int64)
+        self.holders, self.held = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(self.keys) + 1))
 
 
 def suffix_array(ids: np.ndarray, depth: int = DEPTH) -> np.ndarray:
@@ -119,20 +126,29 @@ def _bound(ids: np.ndarray, order: np.ndarray, keys: np.ndarray, upper: bool) ->
 
 
 def search(ids: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray]:
-    """(place in ``ids``, window) of every occurrence; ``ids`` must end with ``DEPTH`` zeros."""
+    """(place in ``ids``, distinct window) of every occurrence; ``ids`` must end with ``DEPTH`` zeros."""
     order = suffix_array(ids)
-    if not len(w.first) or not len(order):
+    if not len(w.keys) or not len(order):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    keys = w.keys()
-    unique, which = np.unique(keys, axis=0, return_inverse=True)
-    low = _bound(ids, order, unique, False)
-    high = _bound(ids, order, unique, True)
-    n = (high - low)[which.reshape(-1)]
-    return order[gather_ranges(low[which.reshape(-1)], n)], np.repeat(np.arange(len(n)), n)
-
-
-def longest(ids: np.ndarray, w: Windows, place: np.ndarray, window: np.ndarray) -> np.ndarray:
-    """Words that each match goes on for, its window included, up to the item's end."""
+    low = _bound(ids, order, w.keys, False)
+    n = _bound(ids, order, w.keys, True) - low
+    return order[gather_ranges(low, n)], np.repeat(np.arange(len(n)), n)
+
+
+def longest(ids: np.ndarray, w: Windows, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(place, window, words)`` of the matches that cannot begin earlier, followed up to the item's end.
+
+    A match whose words before it are equal too is part of a longer one on the same diagonal, so of the windows equal to
+    a place's only those with another word before them are looked at: a run of equal words costs its length.
+    """
+    before = np.where(place > 0, ids[place - 1], 0).astype(np.int64)
+    here = key * w.wide
+    low, high = np.searchsorted(w.order, here), np.searchsorted(w.order, here + w.wide)
+    # Unknown words (0) before a place differ from every known word.
+    a = np.where(before > 0, np.searchsorted(w.order, here + before + 1), high)
+    b = np.where(before > 0, np.searchsorted(w.order, here + before + 1, side="right"), high)
+    window = w.by_key[np.concatenate([gather_ranges(low, a - low), gather_ranges(b, high - b)])]
+    place = np.concatenate([np.repeat(place, a - low), np.repeat(place, high - b)])
     length = w.size[window].copy()
     live = np.arange(len(place))
     while live.size:
@@ -140,7 +156,7 @@ def longest(ids: np.ndarray, w: Windows, place: np.ndarray, window: np.ndarray)
         mine = ids[np.minimum(place[live] + length[live], len(ids) - 1)]
         live = live[(theirs == mine) & (mine > 0)]
         length[live] += 1
-    return length
+    return place, window, length
 
 
 _MATCH = T.StructType(
@@ -190,33 +206,38 @@ def _scan(texts: list[str | None], w: Windows, before: list[dict | None]) -> lis
         sizes.append(len(words))
     line = np.array([*ids, *[0] * DEPTH], np.int32)
     starts = np.cumsum([0, *sizes[:-1]]) + np.arange(len(sizes))
-    place, window = search(line, w)
-    length = longest(line, w, place, window)
+    place, key = search(line, w)
     change = np.zeros(len(line) + 1, np.int64)
     np.add.at(change, place, 1)
-    np.add.at(change, place + w.size[window], -1)
+    np.add.at(change, place + w.lengths[key], -1)
+    met = np.unique((np.searchsorted(starts, place, side="right") - 1) * max(len(w.keys), 1) + key)
+    met_doc, met_key = np.divmod(met, max(len(w.keys), 1))
+    place, window, length = longest(line, w, place, key)
     doc = np.searchsorted(starts, place, side="right") - 1
     out = []
     for k, old in enumerate(before):
         out.append({"n_words": sizes[k]} | ({x: old[x] for x in ("hits", "items", "longest")} if old else {"hits": [], "items": [], "longest": None}))
     if not len(place):
         return out
-    by_doc = np.argsort(doc, kind="stable")
-    cuts = np.flatnonzero(np.diff(doc[by_doc], prepend=-1))
-    for own in np.split(by_doc, cuts[1:]):
-        k = int(doc[own[0]])
+    # Each document's longest match: the first place of equals, then the first window.
+    ranked = np.lexsort((window, place, -length, doc))
+    tops = ranked[np.flatnonzero(np.diff(doc[ranked], prepend=-1))]
+    edges_met = np.searchsorted(met_doc, doc[tops]), np.searchsorted(met_doc, doc[tops], side="right")
+    for best, lo, hi in zip(tops, *edges_met, strict=True):
+        k = int(doc[best])
         a = starts[k]
+        keys = met_key[lo:hi]
+        holders = w.holders[gather_ranges(w.held[keys], w.held[keys + 1] - w.held[keys])]
         hit = np.cumsum(change[a : a + sizes[k] + 1]) > 0
         edges = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
         spans = [*zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
         old = out[k]
         spans = _merged([*zip(old["hits"][::2], old["hits"][1::2], strict=True), *spans])
-        best = own[np.lexsort((place[own], -length[own]))[0]]
         top = {"first_word": int(place[best] - a), "n_words": int(length[best]), "item_id": w.items[int(w.owner[window[best]])]}
         out[k] = {
             "n_words": sizes[k],
             "hits": [x for s in spans for x in s],
-            "items": sorted({*old["items"], *(w.items[i] for i in np.unique(w.owner[window[own]]))}),
+            "items": sorted({*old["items"], *(w.items[i] for i in np.unique(holders))}),
             "longest": top if old["longest"] is None or old["longest"]["n_words"] < top["n_words"] else old["longest"],
         }
     return out
@@ -245,7 +266,11 @@ def matches(
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
         w = Windows(sorted((r.item_id or "", r.text) for r in block.collect()), window)
-        rows = _pass(rows, w, fields)
+        done, rows = rows, _pass(rows, w, fields)
+        if k + 1 < blocks:  # one worker and one block in memory at a time
+            rows = stage_table(docs.sparkSession, rows, "block")
+            if k:
+                drop_stage(done)
     return rows.select(*keep, "__found.*")
 
 

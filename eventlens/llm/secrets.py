@@ -47,7 +47,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----((?:[^-]+|-(?!----))*+)-----END \1-----")
 #: Line breaks, tabs and slashes as JSON, .env files and source code write them, escaped once or more.
-_ESCAPED = re.compile(r"\\+(?:(?P<n>n|u000[aA])|(?P<r>r|u000[dD])|(?P<t>t|u0009)|(?P<slash>/)|(?=\s))")
+_ESCAPED = re.compile(r"(?<!\\)\\++(?:(?P<n>n|u000[aA])|(?P<r>r|u000[dD])|(?P<t>t|u0009)|(?P<slash>/)|(?=\s))")
 _HEADER = re.compile(r"\s*(?:(?:Proc-Type|DEK-Info):[ \t]*\S+|[A-Za-z][A-Za-z0-9-]*:[^\n]*)(?=\s)")
 _KNOWN = re.compile(r"\b(?P<known>Proc-Type|DEK-Info):[ \t]*(?P<value>\S+)")
 _DEK = re.compile(r"([A-Z0-9-]+),((?:[0-9A-Fa-f]{2})+)")

@@ -5,6 +5,7 @@ import json
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 import corpus_pipeline
@@ -137,6 +138,41 @@ def test_mined_url_rules_equal_brute_force(spark):
     assert all((r.verdict == "block") == (r.id % 3 == 0 and r.id % 2 == 1) for r in got) and len(got) == 120
 
 
+def test_long_templates_are_one_item(spark):
+    words = "/".join(f"word{k}x" for k in range(30))
+    rows = [(i, f"http://a.example.com/{words}/p{i}q" if i % 4 == 0 else f"http://a.example.com/other{i % 3}z") for i in range(160)]
+    pages = spark.createDataFrame(rows, "id long, url string")
+    mined = urls.mine(pages, pages.select("id", (F.col("id") % 4 == 0).alias("bad"))).collect()
+    assert {tuple(r.tokens) for r in mined} == {("path:word9x",)} and {r.key for r in mined} == {f"path:word{k}x" for k in range(30)}
+    again = pages.union(spark.createDataFrame([(500, "http://b.org/word7x")], pages.schema))
+    got = {r.id: r.verdict for r in urls.judge(again, urls.mine(pages, pages.select("id", (F.col("id") % 4 == 0).alias("bad"))), []).collect()}
+    assert all((v == "block") == (i % 4 == 0) for i, v in got.items())
+
+
+def test_rules_equal_enumeration(spark):
+    rng = np.random.default_rng(5)
+    sets = [sorted(rng.choice(["aa", "bb", "cc", "dd", "ee"], rng.integers(1, 5), replace=False)) for _ in range(200)]
+    bad = [("aa" in s and "cc" in s and rng.random() < 0.95) or rng.random() < 0.1 for s in sets]
+    pages = spark.createDataFrame([(i, "http://h/" + "/".join(s)) for i, s in enumerate(sets)], "id long, url string")
+    labels = spark.createDataFrame([(i, bool(b)) for i, b in enumerate(bad)], "id long, bad boolean")
+    got = {tuple(r.tokens): (round(r.confidence, 9), round(r.support, 9)) for r in urls.mine(pages, labels, 0.05, 0.6, 1.2).collect()}
+    want, base = {}, sum(bad) / 200
+    for k in range(1, 6):
+        for combo in itertools.combinations(["aa", "bb", "cc", "dd", "ee"], k):
+            hold = [b for s, b in zip(sets, bad, strict=True) if set(combo) <= set(s)]
+            sure = sum(hold) / max(len(hold), 1)
+            if sum(hold) >= max(10, 10) and sure >= 0.6 and sure / base >= 1.2:
+                want[tuple(f"path:{w}" for w in combo)] = (round(sure, 9), round(sum(hold) / 200, 9))
+    want = {r: v for r, v in want.items() if not any(set(q) < set(r) and u[0] >= v[0] for q, u in want.items())}
+    assert got == want and want
+
+
+def test_url_edge_tables(spark):
+    pages = spark.createDataFrame([(1, "http://a/b", "x")], "id long, url string, host string").select("id", "url")
+    none = spark.createDataFrame([], "id long, bad boolean")
+    assert urls.judge(pages.limit(0), urls.mine(pages.limit(0), none), queries.URL_RULES).count() == 0
+
+
 def test_url_query_rules(spark):
     for r in queries.QUERIES["op5_url_rules"](spark, SMALL).collect():
         rule, verdict = brute_rule(r.host, r.path)
@@ -235,3 +271,21 @@ def test_stages_take_odd_rows(spark, name):
 
 def test_simhash_stage_uses_the_operator():
     assert simhash.blocks_of(4) == [(0, 21), (21, 21), (42, 22)]
+
+
+def test_null_and_text_conversations(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (-1, 0, "user", "c"), (-1, 1, "assistant", "d")]
+    for kind in ("long", "string"):
+        convs = spark.createDataFrame([(None if c is None else c if kind == "long" else f"c{c}", *r) for c, *r in rows], f"conv_id {kind}, turn long, role string, text string")
+        for some in (convs, convs.limit(0), convs.withColumn("line", F.lit("x")).withColumn("level", F.lit(1))):
+            out = chat.format_chat(*chat.from_turns(some), queries.REPLY_SCHEMA).collect()
+            if out:
+                assert {(r.conv, r.turn, r.link) for r in out} == {(c if c is None or kind == "long" else f"c{c}", t, "linked") for c, t, _, _ in rows}
+
+
+def test_backslash_runs_are_linear():
+    import time
+
+    start = time.time()
+    text = "-----BEGIN RSA PRIVATE KEY-----" + "\\" * 1_000_000 + "-----END RSA PRIVATE KEY-----"
+    assert secrets._ESCAPED.sub("", text) and time.time() - start < 5
