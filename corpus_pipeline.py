@@ -5,6 +5,13 @@ kept; ``run`` writes each result as Parquet in the shared folder and reads it
 back for the next stage.  Stages cannot be said in SQL (learned model, XXH64
 fingerprints, decoders), so ``ORACLE_SQL`` is None and tests compare with
 a brute-force version.
+
+Defined cases, for every stage: an empty table passes through as one; null and
+empty texts are scored like any text without words, have the fingerprint zero,
+no benchmark window, no secret and no tokens; rows that repeat are judged alike,
+and the near-duplicate stage keeps one of them; a row with a null ``doc_id`` is
+never held out and stays in the near-duplicate stage; columns beside ``doc_id``,
+``text`` and ``n_chars`` are carried as they are, whatever their names.
 """
 
 from __future__ import annotations
