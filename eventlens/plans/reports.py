@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from eventlens.plans.scoring import save_scorer
 from eventlens.session import ensure_checkpoint_dir
 from eventlens.sinks.writers import metrics_frame, save_model, write_csv, write_json
 from eventlens.sources.files import read_csv_artifact, read_json_artifact
@@ -46,6 +47,7 @@ def write_churn_artifacts(spark: SparkSession, result, out_dir: str) -> dict[str
     m = dict(result.metrics)
     paths = {
         "model": save_model(result.model, f"{out_dir}/churn_model"),
+        "scorer": save_scorer(result.model, result.inputs, result.feature_cols, f"{out_dir}/churn_scorer"),
         "metrics": write_json(metrics_frame(spark, m, CHURN_METRICS_SCHEMA).coalesce(1), f"{out_dir}/metrics.json"),
     }
     return paths
