@@ -26,7 +26,7 @@ def test_blank_rows_dropped_and_rare_classes(spark):
     prep = prepare_texts(df, "body", "label", keep=["id"])
     assert {r["id"] for r in prep.collect()} == {0, 1, 2, 3, 4, 10, 13, 14}
     merged, rare = handle_rare_classes(prep, min_class_count=2, merge_to_other=True)
-    assert rare == {"solo": 1}
+    assert [tuple(r) for r in rare.collect()] == [("solo", 1)]
     assert {r["target"] for r in merged.collect()} == {"big", "edge", OTHER_CLASS}  # "edge" has exactly 2
     dropped, _ = handle_rare_classes(prep, min_class_count=2)
     assert dropped.filter(F.col("target") == "solo").count() == 0 and dropped.count() == 7
@@ -56,3 +56,12 @@ def test_constant_column_and_all_null_age(spark):
         impute_and_encode(ds)
     ok = impute_and_encode(ds.withColumn("age", F.lit(30)))
     assert sorted(ok.columns) == ["age", "device_id", "gender_F", "gender_U"]
+
+
+def test_a_target_of_very_many_values_is_not_collected(spark, monkeypatch):
+    from eventlens.operators import text
+
+    monkeypatch.setattr(text, "MAX_CLASSES", 50)
+    df = spark.range(200).select(F.concat(F.lit("some words "), F.col("id")).alias("body"), F.concat(F.lit("t"), F.col("id")).alias("topic"))
+    with pytest.raises(ValueError, match="rare classes"):
+        text.train_text(df, "body", "topic")
