@@ -9,11 +9,12 @@ unbroken text is cut too and falls into step again behind a change.  Each paragr
 ``TABLES`` tables; a cell holds a count, the sum of digests and the sum of
 their check values.  The fingerprint is the sketch of ``CELLS`` cells.
 
-Two texts are compared by subtracting sketches and peeling: a cell with one digest
-left gives it away, it is taken out of its other cells, and so on.  If cells
-are left over, the difference did not fit; the pair is sketched again with
-``GROWTH`` times the cells until it does.  The digests recovered are exactly the
-paragraphs that differ; likeness is the shared part of all paragraphs (1 for equal
+Two fingerprints are compared by subtracting their cells and peeling: a cell with one
+digest left gives it away, it is taken out of its other cells, and so on.  If cells
+are left over, the difference did not fit (:func:`compare` says so) and the pair's texts
+are sketched again with ``GROWTH`` times the cells until it does.  The digests recovered
+are exactly the paragraphs that differ, and a fingerprint's counts add up to ``TABLES``
+times its paragraphs; likeness is the shared part of all paragraphs (1 for equal
 texts, 0 with nothing in common; two texts without paragraphs are alike).
 
 ``with_next`` pairs every document with the next by id.  Documents are dealt by
@@ -51,6 +52,9 @@ BATCH_BYTES = 1 << 20
 _ENDS = "\n.!?。．｡！？"
 _UNIT = re.compile(f"[^{_ENDS}]*[{_ENDS}]+|[^{_ENDS}]+")
 _NO_ID = -(1 << 63)
+#: Check values and their sums are kept modulo 2^32.
+_CHECK_BITS = np.uint64(0xFFFFFFFF)
+_CELL = np.dtype([("count", ">i4"), ("total", ">u8"), ("check", ">u4")])
 
 
 def paragraphs(text: str | None) -> list[str]:
@@ -122,7 +126,7 @@ def _cells(keys: np.ndarray, sketch: np.ndarray, cells: int) -> np.ndarray:
 
 
 def _check(keys: np.ndarray) -> np.ndarray:
-    return _mix(keys, 40) & np.uint64(0xFFFFFFFF)
+    return _mix(keys, 40) & _CHECK_BITS
 
 
 def sketches(keys: np.ndarray, sketch: np.ndarray, sign: np.ndarray, n: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,7 +154,7 @@ def peel(count, total, check, n: int, cells: int) -> tuple[np.ndarray, np.ndarra
         with np.errstate(over="ignore"):
             u = count[single].astype(np.uint64)
             keys = total[single] * u
-            pure = check[single] == _check(keys) * u
+            pure = (check[single] - _check(keys) * u) & _CHECK_BITS == 0
         single, keys = single[pure], keys[pure]
         if not single.size:
             break
@@ -163,18 +167,22 @@ def peel(count, total, check, n: int, cells: int) -> tuple[np.ndarray, np.ndarra
         _put(count, total, check, keys, sketch, -sign, cells)
         found.append(keys)
         of.append(sketch)
-    left = (count != 0) | (total != 0) | (check != 0)
+    left = (count != 0) | (total != 0) | (check & _CHECK_BITS != 0)
     done = ~left.reshape(n, cells).any(axis=1)
     if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64), done
     return np.concatenate(found), np.concatenate(of), done
 
 
-def differing(a: np.ndarray, a_of: np.ndarray, b: np.ndarray, b_of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Digests that only one text of pair ``i`` has (``a_of``, ``b_of``: the pair of each digest), with their pairs."""
+def differing(
+    a: np.ndarray, a_of: np.ndarray, b: np.ndarray, b_of: np.ndarray, n: int, todo: np.ndarray | None = None, cells: int = CELLS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Digests that only one text of pair ``i`` has (``a_of``, ``b_of``: the pair of each digest), with their pairs.
+
+    ``todo`` names the pairs to work on (all by default), ``cells`` is the first size tried."""
     keys, pair = np.concatenate([a, b]), np.concatenate([a_of, b_of])
     sign = np.concatenate([np.ones(len(a), np.int64), -np.ones(len(b), np.int64)])
-    todo, cells, out, out_of = np.arange(n), CELLS, [], []
+    todo, out, out_of = np.arange(n) if todo is None else todo, [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     while todo.size:
         place = np.full(n, -1)
         place[todo] = np.arange(len(todo))
@@ -193,24 +201,70 @@ def hex_sketches(keys: np.ndarray, sizes: np.ndarray) -> list[str]:
     """Fingerprints: per cell the count (32 bits), the sum of digests (64) and of checks (32) in hex."""
     n = len(sizes)
     count, total, check = sketches(keys, np.repeat(np.arange(n), sizes), np.ones(len(keys), np.int64), n, CELLS)
-    raw = np.empty((n * CELLS, 16), np.uint8)
-    raw[:, :4] = count.astype(">u4").view(np.uint8).reshape(-1, 4)
-    raw[:, 4:12] = total.astype(">u8").view(np.uint8).reshape(-1, 8)
-    raw[:, 12:] = (check & np.uint64(0xFFFFFFFF)).astype(">u4").view(np.uint8).reshape(-1, 4)
+    raw = np.empty(n * CELLS, _CELL)
+    raw["count"], raw["total"], raw["check"] = count, total, check & _CHECK_BITS
     line = raw.tobytes().hex()
-    step = CELLS * 32
+    step = CELLS * 2 * _CELL.itemsize
     return [line[i * step : (i + 1) * step] for i in range(n)]
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Shared part of the paragraphs of text ``i`` of ``a`` and text ``i`` of ``b``."""
-    n = len(a[1])
-    of = [np.repeat(np.arange(n), x[1]) for x in (a, b)]
-    _, pair = differing(a[0], of[0], b[0], of[1], n)
-    apart, both = np.bincount(pair, minlength=n) if n else np.empty(0), a[1] + b[1]
+def parsed(prints: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(count, sum of digests, sum of checks) of all cells of the fingerprints, as :func:`sketches` gives them."""
+    if any(len(p) != CELLS * 2 * _CELL.itemsize for p in prints):
+        raise ValueError(f"a fingerprint has {CELLS * 2 * _CELL.itemsize} hex digits")
+    raw = np.frombuffer(bytes.fromhex("".join(prints)), _CELL)
+    return raw["count"].astype(np.int64), raw["total"].astype(np.uint64), raw["check"].astype(np.uint64)
+
+
+def compare(a: list[str], b: list[str]) -> np.ndarray:
+    """Likeness of fingerprint ``i`` of ``a`` and fingerprint ``i`` of ``b``; NaN where the difference does not fit their cells."""
+    n = len(a)
+    left, right = parsed(a), parsed(b)
+    both = (left[0] + right[0]).reshape(n, CELLS).sum(axis=1) // TABLES
+    with np.errstate(over="ignore"):
+        rest = [x - y for x, y in zip(left, right, strict=True)]
+    _, of, done = peel(*rest, n, CELLS)
+    return np.where(done, _alike(both, np.bincount(of, minlength=n)), np.nan)
+
+
+def _alike(both: np.ndarray, apart: np.ndarray) -> np.ndarray:
     return np.where(both > 0, (both - apart) / np.maximum(both + apart, 1), 1.0)
 
 
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], prints: tuple[list[str], list[str]] | None = None) -> np.ndarray:
+    """Likeness of text ``i`` of ``a`` and text ``i`` of ``b`` (:func:`digests`): of their fingerprints, or else of larger sketches."""
+    n = len(a[1])
+    near = compare(*(prints or (hex_sketches(*a), hex_sketches(*b))))
+    todo = np.flatnonzero(np.isnan(near))
+    if todo.size:
+        of = [np.repeat(np.arange(n), x[1]) for x in (a, b)]
+        _, pair = differing(a[0], of[0], b[0], of[1], n, todo, CELLS * GROWTH)
+        near[todo] = _alike(a[1] + b[1], np.bincount(pair, minlength=n))[todo]
+    return near
+
+
+def compare_columns(rows: DataFrame, a_col: str, b_col: str, name: str = "likeness") -> DataFrame:
+    """``rows`` and the likeness of two fingerprint columns.
+
+    Null where a fingerprint is null or the pair differs by more than the cells hold; the texts decide then."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.num_columns - 2
+            a, b = (batch.column(k + i).to_pylist() for i in (0, 1))
+            out = np.full(len(a), np.nan)
+            known = [i for i in range(len(a)) if a[i] is not None and b[i] is not None]
+            if known:
+                out[known] = compare([a[i] for i in known], [b[i] for i in known])
+            near = pa.array(out, pa.float64(), mask=np.isnan(out))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:k], near], [*batch.schema.names[:k], "near"])
+
+    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    pair = plain.select("*", *[plain[f"c{rows.columns.index(c)}"].alias(x) for c, x in ((a_col, "a"), (b_col, "b"))])
+    schema = T.StructType([*plain.schema.fields, T.StructField("near", T.DoubleType())])
+    return pair.mapInArrow(run, schema).toDF(*rows.columns, name)
+
+
 def edited(text: str, following: str) -> str:
     """The last half of ``text`` replaced by as much of the beginning of ``following``."""
     half = len(text) // 2
@@ -307,14 +361,15 @@ def _compared(ready: list[tuple], id_type: pa.DataType, name: str) -> pa.RecordB
     texts, after = [r[1] for r in ready], [r[2] for r in ready]
     changed = [edited(t, x) for t, x in zip(texts, after, strict=True)]
     own, new, following = digests(texts), digests(changed), digests(after)
+    own_prints, new_prints, next_prints = hex_sketches(*own), hex_sketches(*new), hex_sketches(*following)
     columns = [
         pa.array([r[0] for r in ready], id_type),
         pa.array([len(t) for t in texts], pa.int64()),
         pa.array(changed, pa.string()),
-        pa.array(hex_sketches(*own), pa.string()),
-        pa.array(hex_sketches(*new), pa.string()),
-        pa.array(likeness(own, new), pa.float64()),
-        pa.array(likeness(own, following), pa.float64()),
+        pa.array(own_prints, pa.string()),
+        pa.array(new_prints, pa.string()),
+        pa.array(likeness(own, new, (own_prints, new_prints)), pa.float64()),
+        pa.array(likeness(own, following, (own_prints, next_prints)), pa.float64()),
     ]
     copies = np.array([r[3] for r in ready])
     take = pa.array(np.repeat(np.arange(len(ready)), copies))

@@ -1,6 +1,7 @@
 """Decontamination, secret scans, fingerprints and suffix dedup against brute force."""
 
 import base64
+import hashlib
 import re
 from collections import Counter
 
@@ -195,6 +196,35 @@ def test_fingerprints_equal_brute_force(spark, rng):
     assert one.edited == "aa" and one.near_next == 1.0
 
 
+def test_published_fingerprints_are_compared(spark, rng):
+    base = [f"line {k} of it." for k in range(12)]
+    texts = ["\n".join(base), "\n".join([*base[:5], "another.", *base[6:]]), "", None, "\n".join(f"else {k}." for k in range(300))]
+    prints = fingerprints.hex_sketches(*fingerprints.digests(texts))
+    near = fingerprints.compare([prints[0]] * 5, prints)
+    assert near[0] == 1 and abs(near[1] - 11 / 13) < 1e-12 and np.isnan(near[4])  # 312 paragraphs do not fit 12 cells
+    own = fingerprints.digests([texts[0]] * 5)
+    assert fingerprints.likeness(own, fingerprints.digests(texts))[4] == 0
+    assert fingerprints.compare([prints[2]], [prints[3]]).tolist() == [1.0]
+    assert len(fingerprints.compare([], [])) == 0
+    rows = [(prints[0], prints[1], "x"), (prints[0], None, "y"), (prints[0], prints[4], None)]
+    df = spark.createDataFrame(rows, "a string, b string, near string")  # clashes with the new column's inner name
+    got = fingerprints.compare_columns(df, "a", "b").collect()
+    assert [r.near for r in got] == ["x", "y", None] and [r.likeness and round(r.likeness, 9) for r in got] == [round(11 / 13, 9), None, None]
+
+
+def test_fingerprint_query_equals_brute_force(spark):
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    ids = sorted(rows)
+    got = {r.doc_id: r for r in queries.QUERIES["op6_fingerprints"](spark, SMALL).collect()}
+    assert sorted(got) == ids
+    for k, i in enumerate(ids):
+        t, x = rows[i].text or "", rows[ids[(k + 1) % len(ids)]].text or ""
+        e = t[: len(t) - len(t) // 2] + x[: len(t) // 2]
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(e.encode()).hexdigest())
+        assert abs(r.near_edited - jaccard(t, e)) < 1e-9 and abs(r.near_next - jaccard(t, x)) < 1e-9
+
+
 def test_long_units_are_cut(rng):
     cjk = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(10_000))
     base64ish = "".join(rng.choice("ABCDEFGHijklmnop0123456789+/") for _ in range(10_000))
