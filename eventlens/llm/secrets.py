@@ -15,6 +15,12 @@ only if what they hold parses to the end:
 * ``jwt``: three parts, the header a JSON object with a string ``alg``, the
   claims a JSON object; a full stop may follow, a fourth part may not.
 
+A run that is no key as a whole is searched for keys inside it: wherever the decoded bytes
+begin like a key and its lengths say where it ends, that part is reported, however the
+key is glued to what stands around it.  Base64 may be wrapped over lines without armour, hex
+may start at an odd place or be parted by colons.  What lies inside a ``pem`` span is not
+reported a second time by this search.
+
 Offsets are code points, end exclusive.  Defined cases: a null text is empty and
 has no spans; equal rows give equal results; only the key columns and the text
 are read.
@@ -26,6 +32,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,11 +62,22 @@ _DEK = re.compile(r"([A-Z0-9-]+),((?:[0-9A-Fa-f]{2})+)")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])(?!\.[A-Za-z0-9_-]))")
 _B64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEXES = re.compile(r"(?:[0-9a-fA-F]{2}){20,}")
+#: Lines of base64, the first one not short; runs of hex; colon-separated hex, also over lines.
+_LINES = re.compile(r"[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+")
+_HEX_RUN = re.compile(r"[0-9a-fA-F]{40,}+")
+_COLONS = re.compile(r"(?<![0-9a-fA-F:])[0-9a-fA-F]{2}(?::\s*+[0-9a-fA-F]{2}(?![0-9a-fA-F])){19,}+")
+#: First bytes of a key: a sequence that opens with a version number or a sequence, an SSH key type, the OpenSSH magic.
+_BEGINS = re.compile(
+    rb"(?=\x30(?:[\x00-\x7f]|\x81.|\x82..|\x83...|\x84....)(?:\x02\x01[\x00\x01]|\x30)|\x00\x00\x00[\x07\x0b\x13](?:ssh-|ecdsa-)|openssh-key-v1\x00)",
+    re.DOTALL,
+)
 #: What a text must have for the patterns to be worth running; runs are counted in these bytes.
 _NAMES = ("passw", "secret", "token", "apikey", "api_key")
 _RUNS = bytes(b if chr(b) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-" else 0x20 for b in range(256))
 _SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 _OPENSSH = b"openssh-key-v1\0"
+#: How many strings a public key blob of a type holds, its name included.
+_SSH_PARTS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2}
 
 
 def _decode64(s: str) -> bytes | None:
@@ -72,7 +90,7 @@ def _decode64(s: str) -> bytes | None:
         return None
 
 
-def der_tree(data: bytes, depth: int = 0) -> list | None:
+def der_tree(data: bytes | memoryview, depth: int = 0) -> list | None:
     """DER elements as (tag, content or elements); None unless they fill ``data`` to the end."""
     out, at = [], 0
     while at < len(data):
@@ -104,7 +122,7 @@ def der_tree(data: bytes, depth: int = 0) -> list | None:
     return out
 
 
-def is_der_key(data: bytes) -> bool:
+def is_der_key(data: bytes | memoryview) -> bool:
     """PKCS#1, SEC1 and PKCS#8 private keys, encrypted PKCS#8, and SubjectPublicKeyInfo."""
     if len(data) < 20 or data[0] != 0x30:
         return False
@@ -168,6 +186,101 @@ def key_kind(data: bytes | None) -> str | None:
     return "sshpub" if is_ssh_public(data) else None
 
 
+def _after_strings(data: memoryview, at: int, n: int) -> int | None:
+    """Where ``n`` length-prefixed strings that begin at ``at`` end."""
+    for _ in range(n):
+        if at + 4 > len(data):
+            return None
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at if at <= len(data) else None
+
+
+def key_length(data: memoryview) -> int | None:
+    """How many bytes the key at the beginning of ``data`` would have by its own lengths."""
+    if data[:1] == b"\x30":
+        if len(data) < 2:
+            return None
+        more = data[1] - 0x80 if data[1] > 0x80 else 0
+        n = 2 + more + (int.from_bytes(data[2 : 2 + more], "big") if more else data[1])
+        return n if n <= len(data) else None
+    if data[: len(_OPENSSH)] == _OPENSSH:
+        at = _after_strings(data, len(_OPENSSH), 3)
+        keys = int.from_bytes(data[at : at + 4], "big") if at is not None else 0
+        return _after_strings(data, at + 4, keys + 1) if 0 < keys <= len(data) // 20 else None  # no public key is shorter
+    end = _after_strings(data, 0, 1)
+    return end and _after_strings(data, 0, _SSH_PARTS.get(bytes(data[4:end]), 3))
+
+
+def keys_within(data: bytes, step: int) -> list[tuple[int, int, str]]:
+    """(first byte, byte behind, kind) of the keys in ``data`` that begin at a multiple of ``step`` bytes, none inside another."""
+    out, at, whole = [], 0, memoryview(data)
+    for m in _BEGINS.finditer(data):
+        if m.start() < at or m.start() % step:
+            continue
+        n = key_length(whole[m.start() :])
+        part = whole[m.start() : m.start() + n] if n else None
+        if not part:
+            continue
+        # a view is not copied: many sequences may begin in one long run
+        kind = key_kind(bytes(part)) if part[0] != 0x30 else "der" if is_der_key(part) else None
+        if kind:
+            at = m.start() + n
+            out.append((m.start(), at, kind))
+    return out
+
+
+def _wrapped_keys(text: str, at: int, end: int) -> list[tuple[int, int, str]]:
+    """Keys in base64 at any place between ``at`` and ``end``, line breaks left out."""
+    places = [i for i in range(at, end) if text[i] not in " \t\r\n"]
+    chars = "".join(text[at:end].split()).replace("-", "+").replace("_", "/")
+    out = []
+    for shift in range(min(4, len(chars))):
+        n = len(chars) - shift
+        n -= n % 4 == 1
+        data = base64.b64decode(chars[shift : shift + n] + "=" * (-n % 4))
+        for a, b, kind in keys_within(data, 3):
+            stop = places[shift + (b * 8 + 5) // 6 - 1] + 1
+            pad = -(b - a) % 3
+            while pad and text[stop : stop + 1] == "=":
+                stop, pad = stop + 1, pad - 1
+            out.append((places[shift + a // 3 * 4], stop, kind))
+    return out
+
+
+def _hex_keys(text: str, places: list[int] | range) -> list[tuple[int, int, str]]:
+    """Keys in the hex digits at ``places``, from an even or an odd one on."""
+    out = []
+    digits = "".join(text[i] for i in places)
+    for shift in (0, 1):
+        n = (len(digits) - shift) // 2 * 2
+        for a, b, kind in keys_within(bytes.fromhex(digits[shift : shift + n]), 1):
+            out.append((places[shift + 2 * a], places[shift + 2 * b - 1] + 1, kind))
+    return out
+
+
+def inner_spans(text: str, run: int, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Keys inside longer runs, wrapped lines and colon-separated hex, but for those inside spans that are ``known``."""
+    out = []
+    if run >= 16:
+        for m in _LINES.finditer(text):
+            if len(m[0]) >= 40:
+                out += _wrapped_keys(text, *m.span())
+    if run >= 40:
+        for m in _HEX_RUN.finditer(text):
+            out += _hex_keys(text, range(*m.span()))
+    if text.count(":") >= 19:
+        for m in _COLONS.finditer(text):
+            out += _hex_keys(text, [i for i in range(*m.span()) if text[i] not in ": \t\r\n\v\f"])
+    if not out:
+        return out
+    begins, ends, last = [], [], 0
+    for a, b, _ in sorted(known):
+        last = max(last, b)
+        begins.append(a)
+        ends.append(last)
+    return [s for s in out if not (i := bisect_right(begins, s[0])) or ends[i - 1] < s[1]]
+
+
 def is_pem_key(label: str, body: str) -> bool:
     """Does the body of an armoured block, after its headers, hold a key?"""
     text = _ESCAPED.sub(lambda m: {"n": "\n", "r": "\r", "t": "\t", "slash": "/"}.get(m.lastgroup, ""), body)
@@ -227,15 +340,14 @@ def confirmed_spans(text: str, run: int) -> list[tuple[int, int, str]]:
         out += [(*m.span(), "pem") for m in _PEM.finditer(text) if is_pem_key(m[1], m[2])]
     if "eyJ" in text:
         out += [(m.start(), m.end(3), "jwt") for m in _JWT.finditer(text) if is_token(m[1], m[2])]
-    if run < 40:
-        return out
-    for m in _B64.finditer(text):
-        if kind := key_kind(_decode64(m[0])):
-            out.append((*m.span(), kind))
-    for m in _HEXES.finditer(text):
-        if kind := key_kind(bytes.fromhex(m[0])):
-            out.append((*m.span(), kind))
-    return out
+    if run >= 40:
+        for m in _B64.finditer(text):
+            if kind := key_kind(_decode64(m[0])):
+                out.append((*m.span(), kind))
+        for m in _HEXES.finditer(text):
+            if kind := key_kind(bytes.fromhex(m[0])):
+                out.append((*m.span(), kind))
+    return out + inner_spans(text, run, out)
 
 
 def find_secrets(text: str | None) -> list[tuple[int, int, str]]:

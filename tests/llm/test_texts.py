@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -170,6 +171,60 @@ def test_secret_scan_and_redaction(spark, documents):
         assert r.n_assign + r.n_access + r.n_hex <= len(r.spans.split(","))
 
 
+def sample_keys():
+    number = der(2, b"\x01" * 40)
+    rsa = der(0x30, der(2, b"\0") + number * 8)
+    ec = der(0x30, der(2, b"\1") + der(4, b"\x07" * 32) + der(0xA0, der(6, b"\x2a\x86\x48")))
+    string = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = string(b"ssh-ed25519") + string(b"\x05" * 32)
+    private = b"openssh-key-v1\0" + string(b"none") * 2 + string(b"") + (1).to_bytes(4, "big") + string(ssh) + string(b"\x08" * 80)
+    return {"rsa": ("der", rsa), "ec": ("der", ec), "ssh": ("sshpub", ssh), "openssh": ("openssh", private)}
+
+
+def test_keys_glued_wrapped_and_in_hex():
+    for kind, key in sample_keys().values():
+        line = base64.b64encode(key).decode()
+        bare = line.rstrip("=")
+        for before in ("keys/", "k-", "name", "a", "ab", "abc", "/srv/keys/", "x_"):
+            for after in ("", " end", "." if bare != line else "/x"):
+                text = f"see {before}{line}{after}"
+                assert (kind, line) in confirmed(text), (kind, before, after)
+        assert confirmed(f"k-{bare}/more/text") == [(kind, bare)]
+        for width in (20, 64, 76):
+            for sep in ("\n", "\r\n", "\n    "):
+                wrapped = sep.join(line[i : i + width] for i in range(0, len(line), width))
+                assert (kind, wrapped) in confirmed(f"é here:\n{wrapped}\nand on"), (kind, width, sep)
+        digits = key.hex()
+        assert (kind, digits) in confirmed(f"a{digits}") and (kind, digits) in confirmed(f"a{digits}f")
+        colons = ":".join(digits[i : i + 2] for i in range(0, len(digits), 2))
+        lined = ":\n    ".join(colons[i : i + 44] for i in range(0, len(colons), 45))
+        assert (kind, colons) in confirmed(f"x {colons} y") and (kind, lined) in confirmed(f"x {lined}\n")
+
+
+def test_no_keys_in_noise_and_linear_work(rng):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    noise = "".join(rng.choices(letters, k=300_000))
+    assert confirmed(noise) == confirmed("\n".join(noise[i : i + 64] for i in range(0, 100_000, 64))) == []
+    assert confirmed("".join(rng.choices("0123456789abcdef", k=100_000))) == []
+    begin = time.monotonic()
+    nested = base64.b64encode(b"\x30\x83\x03\x00\x00\x30" * 60_000).decode()
+    for text in (nested, "MII" * 100_000, "AAAAB3NzaC1yc2EA" * 20_000, "30820101" * 40_000, "ab:" * 100_000, "a" * 15 + " \n" * 200_000):
+        assert confirmed(text) == []
+    assert time.monotonic() - begin < 20
+
+
+def test_secret_query_equals_brute_force(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    got = queries.QUERIES["op10_secrets"](spark, SMALL).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        spans = sorted(brute_base(texts[r.doc_id]), key=lambda s: (s[0], secrets.KINDS.index(s[2])))
+        line = ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
+        assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest() and set(line.split(",")) <= set(r.spans.split(","))
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, _, k in spans) for x in secrets.BASE]
+
+
+
 def jaccard(a, b):
     x, y = Counter(fingerprints.paragraphs(a)), Counter(fingerprints.paragraphs(b))
     return sum((x & y).values()) / sum((x | y).values()) if x or y else 1.0
