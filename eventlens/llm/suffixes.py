@@ -17,12 +17,13 @@ the input.
    buckets in order.  Neighbours with a common prefix of ``length`` are equal
    windows; all but the earliest go.
 4. Anchors with more than ``CROWD`` different segments (a short common phrase in very
-   many contexts) would make one task long.  Their segments are cut into single
-   windows, dealt by the window's own hash and handled as in 2.
+   many contexts) would make one task long.  Their segments are parted again by
+   anchors of longer grams and go through 2 and 3, until none is crowded or the
+   gram is a byte shorter than a window: few strings can have that in common.
 5. Removed ranges meet their documents by a join on doc_id.
 
 Tasks hold slices of ``SLICE`` bytes or chunks of ``CHUNK`` bytes of strings of anchors
-(at most ``CROWD`` segments beyond).  Defined cases: a null text has no bytes;
+(at most ``CROWD`` segments beyond, or those around one gram of all but one byte).  Defined cases: a null text has no bytes;
 texts shorter than ``length`` keep all; a null doc_id is the smallest; rows that
 share a doc_id count as one document, and equal places in them as one place,
 so repeated rows give equal results; other columns do not matter.
@@ -30,6 +31,7 @@ so repeated rows give equal results; other columns do not matter.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -88,15 +90,15 @@ def least_of(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - (width - done)], keys[width - done :])
 
 
-def segments(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, windows, anchor hash) of all segments of texts that lie one after the other and end at ``ends``."""
     none = np.empty(0, np.int64)
     if len(data) < length:
         return none, none, none
-    grams = gram_hashes(data, GRAM)
+    grams = gram_hashes(data, gram)
     mask = np.uint64((1 << _POS_BITS) - 1)
     keys = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
-    anchor = (least_of(keys, length - GRAM + 1) & mask).astype(np.int64)
+    anchor = (least_of(keys, length - gram + 1) & mask).astype(np.int64)
     own_end = ends[np.searchsorted(ends, np.arange(len(anchor)), side="right")]
     inside = np.arange(len(anchor)) + length <= own_end
     fresh = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | ~inside[:-1]]) & inside
@@ -390,32 +392,75 @@ def _sorted_repeats(strings: DataFrame, length: int) -> DataFrame:
 
 # --- the whole ---------------------------------------------------------------
 
-def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of wanted segments (``data``); of crowded anchors instead a segment row (``h, place``) per window."""
+_CUT = "key long, crowded boolean, doc long, first long, data binary"
+
+
+def _cut_batch(cut: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+    columns = zip(*cut, strict=True) if cut else [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["key", "crowded", "doc", "first", "data"])
+
+
+def _spans(wanted: DataFrame) -> DataFrame:
+    return wanted.groupBy("doc").agg(F.collect_list(F.struct("key", "first", "last", "crowded")).alias("spans"))
+
+
+def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The bytes of wanted segments of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "h", "doc", "place", "data"]
         for part in sliced(batches, "text", SLICE):
-            key, h, doc, place, data = [], [], [], [], []
-            for d, text, spans in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            cut = []
+            for doc, text, spans in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 raw = text.encode()
+                cut += [(s["key"], s["crowded"], doc, s["first"], raw[s["first"] : s["last"]]) for s in spans if s["last"] <= len(raw)]
+            yield _cut_batch(cut)
+
+    return docs.join(_spans(wanted), "doc").select("doc", "text", "spans").mapInArrow(run, _CUT)
+
+
+def _cut_again(strings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The bytes of wanted segments of ``strings``, from the strings that hold them whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, own, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held = sorted((o["first"], o["data"]) for o in own)
+                begins = [first for first, _ in held]
+                longest = max(len(data) for _, data in held)
+                cut = []
                 for s in spans:
-                    if s["last"] > len(raw):
-                        continue
-                    own = raw[s["first"] : s["last"]]
-                    if not s["crowded"]:
-                        key.append(s["key"]), h.append(None), doc.append(d), place.append(s["first"]), data.append(own)
-                        continue
-                    for k in range(len(own) - length + 1):
-                        window = own[k : k + length]
-                        a, b = xxhash.xxh3_64_intdigest(window, 1), xxhash.xxh3_64_intdigest(window, 2)
-                        key.append(a - (1 << 63)), h.append(b - (1 << 63)), doc.append(d), data.append(None)
-                        place.append((s["first"] + k) << _PLACE)
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((key, h, doc, place, data), kinds, strict=True)], names)
-
-    spans = wanted.groupBy("doc").agg(F.collect_list(F.struct("key", "first", "last", "crowded")).alias("spans"))
-    return docs.join(spans, "doc").select("doc", "text", "spans").mapInArrow(run, _ROWS + ", data binary")
+                    near = held[bisect_left(begins, s["last"] - longest) : bisect_right(begins, s["first"])]
+                    cut += [
+                        (s["key"], s["crowded"], doc, s["first"], data[s["first"] - begin : s["last"] - begin])
+                        for begin, data in near
+                        if s["last"] <= begin + len(data)
+                    ]
+                yield _cut_batch(cut)
+
+    own = strings.groupBy("doc").agg(F.collect_list(F.struct("first", "data")).alias("own"))
+    return own.join(_spans(wanted), "doc").select("doc", "own", "spans").mapInArrow(run, _CUT)
+
+
+def _part_again(strings: DataFrame, length: int, gram: int) -> DataFrame:
+    """A row per segment of ``strings`` by anchors of ``gram`` bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, begin = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            strings = batch.column(2).to_pylist()
+            raw = b"".join(strings)
+            ends = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)))
+            first, count, key = segments(np.frombuffer(raw, np.uint8), ends, length, gram)
+            if not len(first):
+                continue
+            size = count + length - 1
+            h = [xxhash.xxh3_64_intdigest(raw[a : a + n]) for a, n in zip(first.tolist(), size.tolist(), strict=True)]
+            of = np.searchsorted(ends, first, side="right")
+            start = first - np.concatenate([[0], ends[:-1]])[of] + begin[of]
+            yield _row_batch(key, np.array(h, np.uint64).view(np.int64), doc[of], (start << _PLACE) | (size - length))
+
+    return strings.select("doc", "first", "data").mapInArrow(run, _ROWS)
 
 
 def removed_ranges(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -426,14 +471,19 @@ def removed_ranges(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(text_col).alias("text"))
     rows = rows.where(F.octet_length("text") >= length)
     found = stage_table(spark, _settle(_segment_rows(rows, length), length), "segments")
-    mixed = found.where(F.col("key").isNotNull())
-    crowded = mixed.groupBy("key").count().where(F.col("count") > CROWD).select("key", F.lit(True).alias("crowded"))
-    wanted = mixed.join(crowded, "key", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
-    cut = stage_table(spark, _cut_out(rows, wanted, length), "strings")
-    strings = cut.where(F.col("data").isNotNull()).select("key", "doc", F.col("place").alias("first"), "data")
-    windows = cut.where(F.col("data").isNull()).select("key", "h", "doc", "place")
-    gone = found.where(F.col("key").isNull()).union(_sorted_repeats(strings, length)).union(_settle(windows, length).where(F.col("key").isNull()))
-    return gone.select("doc", "first", "last")
+    gone, gram, strings = found.where(F.col("key").isNull()), GRAM, None
+    while True:
+        mixed = found.where(F.col("key").isNotNull())
+        crowded = mixed.groupBy("key").count().where((F.col("count") > CROWD) & F.lit(gram < length - 1))
+        wanted = mixed.join(crowded.select("key", F.lit(True).alias("crowded")), "key", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+        cut = stage_table(spark, _cut_out(rows, wanted) if strings is None else _cut_again(strings, wanted), "strings")
+        gone = gone.union(_sorted_repeats(cut.where(~F.col("crowded")).select("key", "doc", "first", "data"), length))
+        strings = cut.where(F.col("crowded"))
+        if strings.isEmpty():
+            return gone.select("doc", "first", "last")
+        gram += (length - gram) // 2
+        found = stage_table(spark, _settle(_part_again(strings, length, gram), length), "segments")
+        gone = gone.union(found.where(F.col("key").isNull()))
 
 
 def without_repeats(
