@@ -331,9 +331,11 @@ def test_subtopics_use_every_term(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, target string")
     used = []
 
-    def one_step(r, n, k, **kw):
-        used.append(n)
-        return np.ones((k, n)), r.select("doc", F.array(*[F.lit(1.0)] * k).alias("w")), []
+    def one_step(x, k, **kw):
+        ones = F.array(*[F.lit(1.0)] * k)
+        h = x.select("term").distinct()
+        used.append(h.count())
+        return h.select("term", ones.alias("h")), x.select("doc").distinct().select("doc", ones.alias("w")), []
 
     monkeypatch.setattr(topics, "nmf", one_step)
     out = topics.subtopics(df, n_topics=2)
