@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.operators.ordered import running_sums
@@ -64,3 +64,10 @@ def encode_levels(df: DataFrame, levels: Levels) -> DataFrame:
     sizes = df.sparkSession.createDataFrame([(float(levels.size),)], "__at double")
     model = OneHotEncoder(inputCols=["__at"], outputCols=[out], dropLast=True).fit(sizes)
     return model.transform(indexed).drop("__at")
+
+
+def set_places(vector: str) -> Column:
+    """A sparse vector column as ``struct<size long, places array<int>, values array<double>>``: what is stored, of a row's own
+    size.  A dense array of all levels would make rows times levels numbers."""
+    v = F.unwrap_udt(F.col(vector))
+    return F.struct(v["size"].cast("long").alias("size"), v["indices"].alias("places"), v["values"].alias("values"))

@@ -47,6 +47,15 @@ def test_a_hundred_thousand_levels(spark, monkeypatch):
     assert got[99999][2] == [got[99999][0]]
 
 
+def test_sparse_vectors_are_read_without_a_dense_array(spark):
+    df = spark.range(60_000).select("id", F.col("id").cast("string").alias("c"))
+    fitted = fit_levels(df, "c")
+    rows = encode_levels(df.union(spark.createDataFrame([(-1, "new")], df.schema)), fitted)
+    out = rows.select("id", "c_idx", levels.set_places("c_vec").alias("v"))
+    assert out.where("v.size = 60000 and v.places = array(cast(c_idx as int)) and v.values = array(1.0D)").count() == 60_000
+    assert [(r["v"]["size"], r["v"]["places"]) for r in out.where("id = -1").collect()] == [(60_000, [])]
+
+
 def test_retention_bitmap_over_long_logs(spark, rng=np.random.default_rng(4)):
     day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=int(n), hours=5)
     active = {d: sorted({int(x) for x in rng.integers(0, 400, 12)} | ({int(rng.integers(0, 64)) + k for k in (0, 1, 63, 64, 65, 130)})) for d in range(60)}
