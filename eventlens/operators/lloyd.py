@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Rows whose distances to all centres a task works out at a time.
+PIECE = 512
 
 
 @dataclass
@@ -57,6 +59,14 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return flat.reshape(batch.num_rows, -1)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The rows in pieces whose distances to all centres stay in a core's cache."""
+    for batch in batches:
+        if batch.num_rows:
+            x = _matrix(batch)
+            yield from (x[at : at + PIECE] for at in range(0, len(x), PIECE))
+
+
 def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     d = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ centers.T) + (centers * centers).sum(axis=1)
     return np.maximum(d, 0.0)
@@ -136,18 +146,14 @@ def fit_all(
 
         def run(batches: Iterator[pa.RecordBatch], stacked=stacked, first=first) -> Iterator[pa.RecordBatch]:
             n, cost, sums = np.zeros(len(stacked), np.int64), np.zeros(len(stacked)), np.zeros(stacked.shape)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = _matrix(batch)
+            for x in _pieces(batches):
                 d = _distances(x, stacked)
                 for a, b in zip(first[:-1], first[1:]):
                     own = d[:, a:b].argmin(axis=1)
-                    member = np.zeros((b - a, len(x)))
-                    member[own, np.arange(len(x))] = 1.0
-                    n[a:b] += member.sum(axis=1).astype(np.int64)
-                    cost[a:b] += member @ d[np.arange(len(x)), a + own]
-                    sums[a:b] += member @ x
+                    member = own == np.arange(b - a)[:, None]
+                    n[a:b] += np.bincount(own, minlength=b - a)
+                    cost[a:b] += np.bincount(own, weights=d[np.arange(len(x)), a + own], minlength=b - a)
+                    sums[a:b] += member.astype(np.float64) @ x
             some = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some.astype(np.int32)), pa.array(n[some]), pa.array(cost[some]), pa.array(sums[some].tolist(), pa.list_(pa.float64()))],
